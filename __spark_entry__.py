@@ -41,6 +41,7 @@ from tarmac.streaming import (
     shared_folder,
     start_idle_counts,
     start_question,
+    start_shared,
 )
 from tarmac.streaming.idle import read_top_airports
 
@@ -116,6 +117,16 @@ def _resumed(name: str) -> Query:
     return query
 
 
+def _stream_shared(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run = _run(spark)
+        lines = on_time_lines(_flights(spark, sf_dir, stream=True))
+        start_shared(lines, run, trigger=BACKFILL).awaitTermination()
+        return read_answer(spark, QUESTIONS[name], run.table(QUESTIONS[name].table.name))
+
+    return query
+
+
 def stream_airport_top10_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark)
     lines = origin_destination_lines(_flights(spark, sf_dir, stream=True))
@@ -214,6 +225,7 @@ def queries() -> dict[str, Query]:
         **{f"stream_{name}": _stream(name) for name in QUESTIONS},
         **{f"resumed_{name}": _resumed(name) for name in QUESTIONS},
         **{f"shared_{name}": _shared(name) for name in SHARED_QUESTIONS},
+        **{f"stream_shared_{name}": _stream_shared(name) for name in SHARED_QUESTIONS},
         "stream_airport_top10_idle": stream_airport_top10_idle,
         "parse_lines": parse_lines,
         "rejects": reject_lines,
@@ -369,6 +381,11 @@ typed AS (
 """
 
 
+def _question_of(name: str) -> str:
+    """The question a query answers in another form, such as ``stream_shared_weekday_rank``."""
+    return next(q for q in QUESTIONS if name.removesuffix("_idle").endswith(f"_{q}"))
+
+
 def oracle_sql() -> dict[str, str]:
     best = f"{BEST_FLIGHT_SQL} SELECT * FROM xyz"
     answers = {
@@ -382,7 +399,7 @@ def oracle_sql() -> dict[str, str]:
     forms = [name for name in queries() if name.split("_", 1)[0] in ("lines", "stream", "resumed", "shared")]
     return {
         **answers,
-        **{name: answers[name.split("_", 1)[1].removesuffix("_idle")] for name in forms},
+        **{name: answers[_question_of(name)] for name in forms},
         "parse_lines": f"""{LINES_SQL}
             SELECT * EXCLUDE (value, n_fields) FROM typed
             WHERE n_fields = 12 AND flight_date IS NOT NULL AND arr_delay IS NOT NULL""",

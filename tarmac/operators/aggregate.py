@@ -56,10 +56,11 @@ def _least_flight(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*TRIP).agg(least).select(*TRIP, "least.*")
 
 
-# Bounds of the flight code: delay and time (HHMM), two characters of the
-# carrier from ASCII 48 to 90, flight number of up to seven digits.
+# The digits of a flight code, highest first: delay, time (0000 to 2499), two
+# characters (ASCII 48 to 90, less 32), flight number padded to seven digits,
+# its length. Their product is below 2 ** 63.
 DELAY_LOW, DELAY_HIGH = -1024, 7167
-TIMES, LETTERS, NUMBERS, LENGTHS = 10_000, 64, 10_000_000, 8
+TIMES, LETTERS, NUMBERS, LENGTHS = 2_500, 64, 10_000_000, 8
 FIRST_LETTER = 32
 
 
@@ -75,7 +76,7 @@ def _best_by_code(rows: DataFrame) -> DataFrame:
     """
     usual = (
         F.col("arr_delay").between(DELAY_LOW, DELAY_HIGH)
-        & F.col("dep_time").rlike("^[0-9]{4}$")
+        & F.col("dep_time").rlike("^([01][0-9]|2[0-4])[0-9]{2}$")
         & F.col("carrier").rlike("^[0-9A-Z]{2}$")
         & F.col("flight_num").rlike("^[0-9]{1,7}$")
     )

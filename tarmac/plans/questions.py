@@ -48,7 +48,7 @@ class Question:
         return self.on_records(self.records(lines, mode))
 
 
-def top_airports(counts: DataFrame) -> DataFrame:
+def _airports(counts: DataFrame) -> DataFrame:
     return first_k(counts.select("airport", "n"), [F.desc("n"), "airport"])
 
 
@@ -110,7 +110,7 @@ QUESTIONS = {
             ORIGIN_DESTINATION_TOPIC,
             (),
             airport_counts,
-            top_airports,
+            _airports,
             schema.AIRPORT_TOP10,
         ),
         _delay_question("weekday_rank", ("weekday",), "arr_delayed", _weekdays, schema.WEEKDAY_RANK),

@@ -12,9 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.plans.questions import QUESTIONS
+from tarmac.schema import Table
 
 SHARED_KEYS = ("weekday", "origin", "destination", "carrier")
 MEASURES = ("dep_delayed", "arr_delay", "arr_delayed")
+SHARED_TALLY = Table(
+    "shared_tally",
+    "weekday STRING, origin STRING, destination STRING, carrier STRING,"
+    " dep_delayed BIGINT, arr_delay BIGINT, arr_delayed BIGINT, n BIGINT",
+    SHARED_KEYS,
+    ("origin", "destination"),
+    8,
+)
 SHARED_QUESTIONS = (
     "weekday_rank",
     "origin_top10_destinations",
@@ -23,6 +32,10 @@ SHARED_QUESTIONS = (
 )
 
 
+def shared_columns() -> tuple[str, ...]:
+    return (*SHARED_KEYS, *MEASURES)
+
+
 def shared_tally(flights: DataFrame) -> DataFrame:
     return flights.groupBy(*SHARED_KEYS).agg(
         *[F.sum(m).alias(m) for m in MEASURES], F.count(F.lit(1)).alias("n")

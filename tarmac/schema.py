@@ -27,12 +27,17 @@ ON_TIME = T.StructType(
 
 @dataclass(frozen=True)
 class Table:
-    """A serving table: its columns, primary key and the part of the key it is spread by."""
+    """A serving table: its columns, primary key and how its rows are spread over files.
+
+    ``files`` is the number of files of a batch written whole; none leaves a
+    batch in the partitions it comes in, for a table that grows with the dates.
+    """
 
     name: str
     columns: str
     key: tuple[str, ...]
     spread_by: tuple[str, ...]
+    files: int | None = 1
 
     @property
     def schema(self) -> T.StructType:
@@ -55,18 +60,21 @@ TOP10_DESTINATIONS = Table(
     "rank INT, origin STRING, destination STRING, percentage_delayed INT",
     ("origin", "rank"),
     ("origin",),
+    8,
 )
 TOP10_CARRIERS = Table(
     "xytop10carriers",
     "rank INT, origin STRING, destination STRING, carrier STRING, percentage_delayed INT",
     ("origin", "destination", "rank"),
     ("origin", "destination"),
+    8,
 )
 MEAN_DELAY = Table(
     "xymeandelay",
     "origin STRING, destination STRING, mean_delay FLOAT",
     ("origin", "destination"),
     ("origin", "destination"),
+    8,
 )
 BEST_FLIGHT = Table(
     "xyz",
@@ -74,6 +82,7 @@ BEST_FLIGHT = Table(
     " flight STRING, departure_time STRING, delay INT",
     ("departure_date", "period", "origin", "destination"),
     ("departure_date", "period", "origin", "destination"),
+    None,
 )
 
 TABLES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.plans.questions import QUESTIONS, Question
 from tarmac.sinks.files import write_changes, write_snapshot
@@ -10,11 +10,11 @@ from tarmac.streaming.jobs import read_answer
 from tarmac.streaming.paths import RunPaths
 
 
-def publish(question: Question, records, paths: RunPaths, *, files: int = 1) -> str:
+def publish(question: Question, records: DataFrame, paths: RunPaths) -> str:
     """Answer a question from a table of records into its serving table; gives the table's root."""
     root, answer = paths.table(question.table.name), question.on_records(records)
     if question.output_mode == "complete":
-        write_snapshot(answer, root, question.table, files=files)
+        write_snapshot(answer, root, question.table)
     else:
         write_changes(answer, root, question.table)
     return root

@@ -39,16 +39,20 @@ def _delete(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def write_snapshot(
-    df: DataFrame, root: str, table: Table, batch_id: int = 0, *, files: int = 1, keep: int = 3
-) -> None:
+def _write(df: DataFrame, root: str, table: Table, batch_id: int) -> None:
+    """Spread the rows by the key and sort by it, so lookups skip row groups and pages."""
+    rows = df.select(*table.schema.names)
+    if table.files is not None:
+        rows = rows.repartition(table.files, *table.spread_by)
+    rows.sortWithinPartitions(*table.key).write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
+
+
+def write_snapshot(df: DataFrame, root: str, table: Table, batch_id: int = 0, *, keep: int = 10) -> None:
     """Write the whole answer as one batch, and drop all but the ``keep`` newest.
 
-    Rows are spread over ``files`` files by the key and sorted by it, so lookups
-    skip row groups and pages. Keep enough batches to outlast a running reader.
+    Keep enough batches to outlast a running reader.
     """
-    spread = df.select(*table.schema.names).repartition(files, *table.spread_by)
-    spread.sortWithinPartitions(*table.key).write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
+    _write(df, root, table, batch_id)
     for old in _whole(df.sparkSession, root, BATCH)[:-keep]:
         if old < batch_id:
             _delete(df.sparkSession, f"{root}/{BATCH}={old}")
@@ -61,18 +65,9 @@ def read_snapshot(spark: SparkSession, root: str, table: Table) -> DataFrame:
     return spark.read.schema(table.schema).parquet(f"{root}/{BATCH}={batches[-1]}")
 
 
-def write_changes(
-    df: DataFrame, root: str, table: Table, batch_id: int = 0, *, files: int | None = None
-) -> None:
-    """Write the touched keys as one batch; at most one row per key.
-
-    ``files`` bounds the number of files of a small batch; a large one keeps the
-    partitions it comes in.
-    """
-    rows = df.select(*table.schema.names)
-    if files is not None:
-        rows = rows.repartition(files, *table.spread_by)
-    rows.sortWithinPartitions(*table.key).write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
+def write_changes(df: DataFrame, root: str, table: Table, batch_id: int = 0) -> None:
+    """Write the touched keys as one batch; at most one row per key."""
+    _write(df, root, table, batch_id)
 
 
 def _latest_per_key(spark: SparkSession, root: str, table: Table, upto: int, merged: int) -> DataFrame:

@@ -6,6 +6,7 @@ from tarmac.streaming.jobs import (
     start_console,
     start_question,
     start_rejects,
+    start_shared,
 )
 from tarmac.streaming.paths import RunPaths, fresh_run, shared_folder
 
@@ -20,4 +21,5 @@ __all__ = [
     "start_idle_counts",
     "start_question",
     "start_rejects",
+    "start_shared",
 ]

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tarmac.operators.parse import airport_tokens
-from tarmac.plans.questions import top_airports
+from tarmac.plans.questions import QUESTIONS
 from tarmac.schema import AIRPORT_COUNTS
 from tarmac.sinks.files import read_changes, write_changes
 from tarmac.streaming.jobs import LIVE
@@ -77,7 +77,6 @@ def start_idle_counts(
     idle_ms: int = IDLE_MS,
     trigger: Mapping[str, Any] = LIVE,
     state_partitions: int | None = None,
-    files: int | None = 1,
 ) -> StreamingQuery:
     """Keep the change table ``airport_counts`` under ``root`` up to date.
 
@@ -90,11 +89,12 @@ def start_idle_counts(
             IdleCount(idle_ms), AIRPORT_COUNTS.columns, "update", "processingTime"
         )
         writer = counts.writeStream.outputMode("update").foreachBatch(
-            lambda batch, batch_id: write_changes(batch, root, AIRPORT_COUNTS, batch_id, files=files)
+            lambda batch, batch_id: write_changes(batch, root, AIRPORT_COUNTS, batch_id)
         )
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def read_top_airports(spark: SparkSession, root: str) -> DataFrame:
     """The ten busiest airports that are not idle."""
-    return top_airports(read_changes(spark, root, AIRPORT_COUNTS).filter("NOT expired"))
+    counts = read_changes(spark, root, AIRPORT_COUNTS).filter("NOT expired")
+    return QUESTIONS["airport_top10"].answer(counts)

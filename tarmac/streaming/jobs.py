@@ -8,10 +8,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tarmac.operators.parse import rejects
-from tarmac.plans.questions import Question
-from tarmac.schema import Table
+from tarmac.operators.parse import parse_on_time, rejects
+from tarmac.plans.questions import QUESTIONS, Question
+from tarmac.plans.shared import SHARED_TALLY, shared_answers, shared_columns, shared_tally
 from tarmac.sinks.files import read_changes, read_snapshot, write_changes, write_snapshot
+from tarmac.streaming.paths import RunPaths
 from tarmac.streaming.state import state_settings
 
 LIVE: Mapping[str, Any] = {"processingTime": "10 seconds"}
@@ -20,15 +21,10 @@ BACKFILL: Mapping[str, Any] = {"availableNow": True}
 Sink = Callable[[DataFrame, int], None]
 
 
-def _file_sink(question: Question, root: str, files: int | None) -> Sink:
+def _file_sink(question: Question, root: str) -> Sink:
     """Complete answers go to a snapshot table, touched keys to a change table."""
-    if question.output_mode == "complete":
-        return lambda batch, batch_id: write_snapshot(
-            question.answer(batch), root, question.table, batch_id, files=files or 1
-        )
-    return lambda batch, batch_id: write_changes(
-        question.answer(batch), root, question.table, batch_id, files=files
-    )
+    write = write_snapshot if question.output_mode == "complete" else write_changes
+    return lambda batch, batch_id: write(question.answer(batch), root, question.table, batch_id)
 
 
 def start_question(
@@ -39,7 +35,6 @@ def start_question(
     *,
     trigger: Mapping[str, Any] = LIVE,
     mode: str = "permissive",
-    files: int | None = None,
     state_partitions: int | None = None,
     sink: Sink | None = None,
 ) -> StreamingQuery:
@@ -52,7 +47,7 @@ def start_question(
     tally = question.tally(question.records(lines, mode))
     writer = (
         tally.writeStream.outputMode(question.output_mode)
-        .foreachBatch(sink or _file_sink(question, root, files))
+        .foreachBatch(sink or _file_sink(question, root))
         .option("checkpointLocation", checkpoint)
         .queryName(question.name)
         .trigger(**trigger)
@@ -61,6 +56,40 @@ def start_question(
         return writer.start()
 
 
+def start_shared(
+    lines: DataFrame,
+    paths: RunPaths,
+    *,
+    trigger: Mapping[str, Any] = LIVE,
+    mode: str = "permissive",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Keep the tables of the four summing questions up to date, reading the lines once.
+
+    Each batch writes the shared tally first and draws the answers from what was
+    written, so the batch itself runs once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, root = batch.sparkSession, paths.table(SHARED_TALLY.name)
+        write_snapshot(batch, root, SHARED_TALLY, batch_id)
+        tally = read_snapshot(spark, root, SHARED_TALLY)
+        for name, answer in shared_answers(tally).items():
+            table = QUESTIONS[name].table
+            write_snapshot(answer, paths.table(table.name), table, batch_id)
+
+    tally = shared_tally(parse_on_time(lines, shared_columns(), mode))
+    writer = (
+        tally.writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", paths.checkpoint(SHARED_TALLY.name))
+        .queryName(SHARED_TALLY.name)
+        .trigger(**trigger)
+    )
+    with state_settings(lines.sparkSession, state_partitions):
+        return writer.start()
+
+
 def start_console(
     question: Question,
     lines: DataFrame,
@@ -98,9 +127,5 @@ def start_rejects(
 
 def read_answer(spark: SparkSession, question: Question, root: str) -> DataFrame:
     """The question's serving table as it stands."""
-    return read_table(spark, root, question.table, question.output_mode)
-
-
-def read_table(spark: SparkSession, root: str, table: Table, output_mode: str) -> DataFrame:
-    read = read_snapshot if output_mode == "complete" else read_changes
-    return read(spark, root, table)
+    read = read_snapshot if question.output_mode == "complete" else read_changes
+    return read(spark, root, question.table)

@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import datetime
+from pathlib import Path
+
+from conftest import rows
+
+from tarmac.plans import QUESTIONS, best_flight_on, two_leg_trips
+from tarmac.plans.lookups import carriers_of_pair, destinations_of, mean_delay_of_pair
+from tarmac.schema import BEST_FLIGHT, MEAN_DELAY
+from tarmac.serving import publish, register_views
+from tarmac.sinks.files import (
+    merge_changes,
+    read_changes,
+    read_snapshot,
+    write_changes,
+    write_snapshot,
+)
+from tarmac.streaming import fresh_run
+
+
+def means(spark, *values):
+    return spark.createDataFrame([("A", f"D{i}", float(v)) for i, v in enumerate(values)], MEAN_DELAY.schema)
+
+
+def best(spark, **delays):
+    rows_ = [("03/01/2008", "AM", origin, "ATL", "WN 1", "0600", d) for origin, d in delays.items()]
+    return spark.createDataFrame(rows_, BEST_FLIGHT.schema)
+
+
+def test_tables_start_empty(spark, tmp_path):
+    assert read_snapshot(spark, str(tmp_path), MEAN_DELAY).count() == 0
+    assert read_changes(spark, str(tmp_path), BEST_FLIGHT).count() == 0
+
+
+def test_snapshot_is_the_highest_whole_batch(spark, tmp_path):
+    root = str(tmp_path)
+    for batch_id in (2, 9, 10):
+        write_snapshot(means(spark, batch_id), root, MEAN_DELAY, batch_id)
+    assert read_snapshot(spark, root, MEAN_DELAY).first().mean_delay == 10
+    (tmp_path / "batch_id=10" / "_SUCCESS").unlink()
+    assert read_snapshot(spark, root, MEAN_DELAY).first().mean_delay == 9
+
+
+def test_snapshot_replay_and_retention(spark, tmp_path):
+    root = str(tmp_path)
+    for batch_id in (0, 1, 2, 2):
+        write_snapshot(means(spark, 1, 2), root, MEAN_DELAY, batch_id, keep=2)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["batch_id=1", "batch_id=2"]
+    assert read_snapshot(spark, root, MEAN_DELAY).count() == 2
+
+
+def test_changes_upsert_by_key(spark, tmp_path):
+    root = str(tmp_path)
+    for batch_id, delays in enumerate([{"BOS": 10, "LGA": 4}, {"BOS": 3}, {"BOS": 3, "JFK": 1}]):
+        write_changes(best(spark, **delays), root, BEST_FLIGHT, batch_id)
+    assert rows(read_changes(spark, root, BEST_FLIGHT), "origin", "delay") == [("BOS", 3), ("JFK", 1), ("LGA", 4)]
+    write_changes(best(spark, BOS=2), root, BEST_FLIGHT, 2)  # batch 2 again, with other rows
+    assert rows(read_changes(spark, root, BEST_FLIGHT), "origin", "delay") == [("BOS", 2), ("LGA", 4)]
+
+
+def test_unfinished_changes_are_not_read(spark, tmp_path):
+    root = str(tmp_path)
+    write_changes(best(spark, BOS=10), root, BEST_FLIGHT, 0)
+    write_changes(best(spark, BOS=1), root, BEST_FLIGHT, 1)
+    (tmp_path / "batch_id=1" / "_SUCCESS").unlink()
+    assert read_changes(spark, root, BEST_FLIGHT).first().delay == 10
+
+
+def test_merging_keeps_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    merge_changes(spark, root, BEST_FLIGHT)
+    seen = {}
+    for batch_id, delays in enumerate([{"BOS": 10, "LGA": 4}, {"BOS": 3}, {"JFK": 7}, {"JFK": 5, "BOS": 2}]):
+        write_changes(best(spark, **delays), root, BEST_FLIGHT, batch_id)
+        seen.update(delays)
+        if batch_id % 2:
+            merge_changes(spark, root, BEST_FLIGHT)
+            merge_changes(spark, root, BEST_FLIGHT)
+        assert dict(rows(read_changes(spark, root, BEST_FLIGHT), "origin", "delay")) == seen
+    folders = {p.name for p in Path(root).iterdir()}
+    assert "merged_to=3" in folders and "batch_id=0" not in folders
+
+
+def test_key_filter_reaches_the_files(spark, tmp_path):
+    root = str(tmp_path)
+    write_changes(best(spark, BOS=10), root, BEST_FLIGHT, 0)
+    merge_changes(spark, root, BEST_FLIGHT)
+    write_changes(best(spark, BOS=9), root, BEST_FLIGHT, 1)
+    found = best_flight_on(read_changes(spark, root, BEST_FLIGHT), "03/01/2008", "AM", "BOS", "ATL")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all("EqualTo(departure_date,03/01/2008)" in scan for scan in scans)
+    assert found.first().delay == 9
+
+
+def test_lookups(spark, flights, tmp_path):
+    run = fresh_run(str(tmp_path))
+    for name in ("origin_top10_destinations", "pair_top10_carriers", "pair_mean_delay", "best_flight"):
+        publish(QUESTIONS[name], flights, run)
+    register_views(spark, run)
+    destinations = destinations_of(spark.table("top10air"), "BOS", "DEN", "SRQ")
+    order = [(r.origin, r["rank"]) for r in destinations.collect()]
+    assert order == [(o, i) for o in ("BOS", "DEN") for i in range(1, 11)]
+    carriers = carriers_of_pair(spark.table("xytop10carriers"), "BOS", "LGA").collect()
+    assert [r["rank"] for r in carriers] == list(range(1, len(carriers) + 1))
+    assert mean_delay_of_pair(spark.table("xymeandelay"), "BOS", "LGA").count() == 1
+    any_flight = spark.table("xyz").first()
+    key = [any_flight[c] for c in BEST_FLIGHT.key]
+    assert best_flight_on(spark.table("xyz"), *key).collect() == [any_flight]
+    assert spark.sql("SELECT * FROM xymeandelay WHERE origin = 'BOS' AND destination = 'LGA'").count() == 1
+
+
+def test_two_leg_trips_equal_pairs_of_lookups(spark):
+    xyz = spark.createDataFrame(
+        [
+            ("16/05/2008", "AM", "LAX", "MIA", "AA 280", "0820", 10),
+            ("16/05/2008", "PM", "LAX", "MIA", "AA 999", "1820", 0),
+            ("18/05/2008", "PM", "MIA", "LAX", "AA 456", "1930", 0),
+            ("18/05/2008", "PM", "MIA", "BOS", "AA 457", "1730", 3),
+            ("17/05/2008", "PM", "MIA", "JFK", "AA 458", "1730", 3),
+            ("18/05/2008", "AM", "MIA", "ORD", "AA 459", "0730", 3),
+        ],
+        BEST_FLIGHT.schema,
+    )
+    day = datetime.date(2008, 5, 16)
+    wishes = [(day, "LAX", "MIA", z) for z in ("LAX", "BOS", "JFK", "ORD", "LAX", "LAX")]
+    requests = spark.createDataFrame(wishes, "flight_date DATE, origin STRING, via STRING, destination STRING")
+    got = two_leg_trips(xyz, requests)
+    assert rows(got, "date1", "origin", "via", "destination", "flight1", "date2", "flight2") == [
+        ("16/05/2008", "LAX", "MIA", "BOS", "AA 280", "18/05/2008", "AA 457"),
+        ("16/05/2008", "LAX", "MIA", "LAX", "AA 280", "18/05/2008", "AA 456"),
+    ]
