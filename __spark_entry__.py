@@ -24,6 +24,7 @@ from tarmac.plans import (
 )
 from tarmac.plans.shared import SHARED_QUESTIONS
 from tarmac.serving import publish, register_views
+from tarmac.sinks.files import merge_changes
 from tarmac.sources import text_lines
 from tarmac.sources.derived import (
     AIRPORTS,
@@ -41,6 +42,7 @@ from tarmac.streaming import (
     shared_folder,
     start_idle_counts,
     start_question,
+    start_rejects,
     start_shared,
 )
 from tarmac.streaming.idle import read_top_airports
@@ -78,6 +80,16 @@ def _batch(name: str) -> Query:
     return query
 
 
+def _tally(name: str) -> Query:
+    """What a question sums and counts, before it is ranked."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        question = QUESTIONS[name]
+        return question.tally(question.records(_lines(_flights(spark, sf_dir), name)))
+
+    return query
+
+
 def _from_lines(name: str) -> Query:
     return lambda spark, sf_dir: QUESTIONS[name].on_lines(_lines(_flights(spark, sf_dir), name))
 
@@ -95,8 +107,11 @@ def _stream(name: str) -> Query:
     return query
 
 
-def _resumed(name: str) -> Query:
-    """Two deliveries of files, the stream stopped after the first and resumed for the second."""
+def _resumed(name: str, merge: bool = False) -> Query:
+    """Two deliveries of files, the stream stopped after the first and resumed for the second.
+
+    ``merge`` folds the change table after each.
+    """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         question, run = QUESTIONS[name], _run(spark)
@@ -112,6 +127,8 @@ def _resumed(name: str) -> Query:
                 run.checkpoint(name),
                 trigger=BACKFILL,
             ).awaitTermination()
+            if merge:
+                merge_changes(spark, root, question.table)
         return read_answer(spark, question, root)
 
     return query
@@ -143,6 +160,13 @@ def reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects(damaged_lines(_lineitem(spark, sf_dir)))
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run(spark)
+    lines = damaged_lines(_lineitem(spark, sf_dir, stream=True))
+    start_rejects(lines, run.table("rejects"), run.checkpoint("rejects"), trigger=BACKFILL).awaitTermination()
+    return spark.read.parquet(run.table("rejects"))
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_tokens(origin_destination_lines(_flights(spark, sf_dir)))
 
@@ -221,14 +245,17 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         **{name: _batch(name) for name in QUESTIONS},
+        **{f"tally_{name}": _tally(name) for name in QUESTIONS},
         **{f"lines_{name}": _from_lines(name) for name in QUESTIONS if QUESTIONS[name].columns},
         **{f"stream_{name}": _stream(name) for name in QUESTIONS},
         **{f"resumed_{name}": _resumed(name) for name in QUESTIONS},
+        "merged_best_flight": _resumed("best_flight", merge=True),
         **{f"shared_{name}": _shared(name) for name in SHARED_QUESTIONS},
         **{f"stream_shared_{name}": _stream_shared(name) for name in SHARED_QUESTIONS},
         "stream_airport_top10_idle": stream_airport_top10_idle,
         "parse_lines": parse_lines,
         "rejects": reject_lines,
+        "stream_rejects": stream_rejects,
         "airport_tokens": tokens,
         "lookup_origins_in": lookup_origins_in,
         "lookup_pair_carriers": lookup_pair_carriers,
@@ -386,6 +413,25 @@ def _question_of(name: str) -> str:
     return next(q for q in QUESTIONS if name.removesuffix("_idle").endswith(f"_{q}"))
 
 
+TALLY_SQL = f"""
+WITH {FLIGHTS_SQL}
+SELECT {{keys}}, CAST(sum({{measure}}) AS BIGINT) AS total, count(*) AS n FROM flights GROUP BY ALL
+"""
+
+
+def _tally_sql(name: str) -> str:
+    if name == "airport_top10":
+        return f"""WITH {FLIGHTS_SQL}
+            SELECT airport, count(*) AS n FROM
+            (SELECT origin AS airport FROM flights UNION ALL SELECT destination FROM flights)
+            GROUP BY airport"""
+    if name == "best_flight":
+        columns = "flight_date, period, origin, destination, arr_delay, dep_time, flight"
+        return f"{BEST_FLIGHT_SQL} SELECT {columns} FROM best"
+    *keys, measure = QUESTIONS[name].columns
+    return TALLY_SQL.format(keys=", ".join(keys), measure=measure)
+
+
 def oracle_sql() -> dict[str, str]:
     best = f"{BEST_FLIGHT_SQL} SELECT * FROM xyz"
     answers = {
@@ -396,20 +442,24 @@ def oracle_sql() -> dict[str, str]:
         "pair_mean_delay": MEAN_SQL.format(where="true"),
         "best_flight": best,
     }
-    forms = [name for name in queries() if name.split("_", 1)[0] in ("lines", "stream", "resumed", "shared")]
+    rejected = f"""{LINES_SQL}
+        SELECT value, CASE
+          WHEN flight_date IS NULL THEN 'unreadable flight_date'
+          WHEN n_fields < 6 THEN 'missing origin'
+          WHEN arr_delay IS NULL THEN 'unreadable arr_delay'
+          ELSE 'missing arr_delayed' END AS reason
+        FROM typed WHERE n_fields < 12 OR flight_date IS NULL OR arr_delay IS NULL"""
+    forms = [n for n in queries() if n.startswith(("lines_", "stream_", "resumed_", "merged_", "shared_"))]
+    forms.remove("stream_rejects")
     return {
         **answers,
         **{name: answers[_question_of(name)] for name in forms},
+        **{f"tally_{name}": _tally_sql(name) for name in QUESTIONS},
         "parse_lines": f"""{LINES_SQL}
             SELECT * EXCLUDE (value, n_fields) FROM typed
             WHERE n_fields = 12 AND flight_date IS NOT NULL AND arr_delay IS NOT NULL""",
-        "rejects": f"""{LINES_SQL}
-            SELECT value, CASE
-              WHEN flight_date IS NULL THEN 'unreadable flight_date'
-              WHEN n_fields < 6 THEN 'missing origin'
-              WHEN arr_delay IS NULL THEN 'unreadable arr_delay'
-              ELSE 'missing arr_delayed' END AS reason
-            FROM typed WHERE n_fields < 12 OR flight_date IS NULL OR arr_delay IS NULL""",
+        "rejects": rejected,
+        "stream_rejects": rejected,
         "airport_tokens": f"""
             WITH {FLIGHTS_SQL}
             SELECT origin AS airport FROM flights UNION ALL SELECT destination FROM flights""",

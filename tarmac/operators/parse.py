@@ -29,15 +29,26 @@ def _raw(column: str) -> Column:
     return F.get("fields", F.lit(FIELDS.index(column)))
 
 
-def _typed(column: str) -> Column:
+def _readable(column: str) -> Column:
     raw, kind = _raw(column), ON_TIME[column].dataType.typeName()
     if column == "dep_time":
-        return F.when(raw.try_cast("int").isNotNull(), raw)
+        return raw.try_cast("int").isNotNull()
+    if kind == "date":
+        return padded_date(raw).isNotNull()
+    return (raw.try_cast("float") if kind == "integer" else raw).isNotNull()
+
+
+def _typed(column: str) -> Column:
+    raw, kind = _raw(column), ON_TIME[column].dataType.typeName()
     if kind == "date":
         return padded_date(raw)
     return whole_number(raw) if kind == "integer" else raw
 
 
+def _all_readable(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [_readable(c) for c in columns])
+
+
 def parse_on_time(
     lines: DataFrame, columns: Sequence[str] = FIELDS, mode: str = "permissive"
 ) -> DataFrame:
@@ -50,23 +61,22 @@ def parse_on_time(
     """
     if mode not in ("permissive", "strict"):
         raise ValueError(f"mode must be permissive or strict, not {mode!r}")
-    typed = _fields(lines).select("value", *[_typed(c).alias(c) for c in columns])
-    good = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+    good = _all_readable(columns)
     if mode == "strict":
         bad = F.raise_error(F.concat(F.lit("bad on-time line: "), F.coalesce("value", F.lit("null"))))
         good = F.when(good, True).otherwise(bad.cast("boolean"))
-    return typed.filter(good).select(*columns)
+    return _fields(lines).filter(good).select(*[_typed(c).alias(c) for c in columns])
 
 
 def rejects(lines: DataFrame, columns: Sequence[str] = FIELDS) -> DataFrame:
     """Lines that ``parse_on_time`` leaves out, with the first field at fault."""
     reason = F.coalesce(
         *[
-            F.when(_raw(c).isNull(), f"missing {c}").when(_typed(c).isNull(), f"unreadable {c}")
+            F.when(_raw(c).isNull(), f"missing {c}").when(~_readable(c), f"unreadable {c}")
             for c in columns
         ]
     )
-    return _fields(lines).select("value", reason.alias("reason")).filter("reason IS NOT NULL")
+    return _fields(lines).filter(~_all_readable(columns)).select("value", reason.alias("reason"))
 
 
 def airport_tokens(lines: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ class Table:
 
     ``files`` is the number of files of a batch written whole; none leaves a
     batch in the partitions it comes in, for a table that grows with the dates.
+    ``tombstone`` names the flag of rows that stand for a dropped key.
     """
 
     name: str
@@ -38,6 +39,7 @@ class Table:
     key: tuple[str, ...]
     spread_by: tuple[str, ...]
     files: int | None = 1
+    tombstone: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -50,7 +52,11 @@ class Table:
 
 AIRPORT_TOP10 = Table("airport_top10", "airport STRING, n BIGINT, rank INT", ("airport",), ("airport",))
 AIRPORT_COUNTS = Table(
-    "airport_counts", "airport STRING, n BIGINT, expired BOOLEAN", ("airport",), ("airport",)
+    "airport_counts",
+    "airport STRING, n BIGINT, expired BOOLEAN",
+    ("airport",),
+    ("airport",),
+    tombstone="expired",
 )
 WEEKDAY_RANK = Table(
     "weekday_rank", "weekday STRING, pct_delayed FLOAT, rank INT", ("weekday",), ("weekday",)

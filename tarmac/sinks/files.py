@@ -71,7 +71,10 @@ def write_changes(df: DataFrame, root: str, table: Table, batch_id: int = 0) ->
 
 
 def _latest_per_key(spark: SparkSession, root: str, table: Table, upto: int, merged: int) -> DataFrame:
-    """The upserted table of all batches up to one, starting from the merged table if there is one."""
+    """The upserted table of all batches up to one, starting from the merged table if there is one.
+
+    Dropped keys are left out, also for good once batches are merged.
+    """
     names = table.schema.names
     columns = f"{table.columns}, {BATCH} INT"
     changes = spark.read.schema(columns).option("basePath", root).parquet(f"{root}/{BATCH}=*")
@@ -80,7 +83,8 @@ def _latest_per_key(spark: SparkSession, root: str, table: Table, upto: int, mer
         base = spark.read.schema(table.schema).parquet(f"{root}/{MERGED}={merged}")
         rows = rows.union(base.select(*names, F.lit(merged).alias(BATCH)))
     latest = F.max_by(F.struct(*table.values), BATCH).alias("latest")
-    return rows.groupBy(*table.key).agg(latest).select(*table.key, "latest.*").select(*names)
+    current = rows.groupBy(*table.key).agg(latest).select(*table.key, "latest.*").select(*names)
+    return current if table.tombstone is None else current.filter(~F.col(table.tombstone))
 
 
 def read_changes(spark: SparkSession, root: str, table: Table) -> DataFrame:

@@ -1,8 +1,8 @@
 """Airport counts that forget an airport after a time without input.
 
 An airport not seen for ``idle_timeout`` is dropped and counts from 0 when it
-comes back. Counts go to a change table; a dropped airport leaves a row with
-``expired`` set, which readers hide.
+comes back. Counts go to a change table; a dropped airport leaves a tombstone,
+a row with ``expired`` set.
 """
 
 from __future__ import annotations
@@ -96,5 +96,4 @@ def start_idle_counts(
 
 def read_top_airports(spark: SparkSession, root: str) -> DataFrame:
     """The ten busiest airports that are not idle."""
-    counts = read_changes(spark, root, AIRPORT_COUNTS).filter("NOT expired")
-    return QUESTIONS["airport_top10"].answer(counts)
+    return QUESTIONS["airport_top10"].answer(read_changes(spark, root, AIRPORT_COUNTS))

@@ -7,7 +7,7 @@ from conftest import rows
 
 from tarmac.plans import QUESTIONS, best_flight_on, two_leg_trips
 from tarmac.plans.lookups import carriers_of_pair, destinations_of, mean_delay_of_pair
-from tarmac.schema import BEST_FLIGHT, MEAN_DELAY
+from tarmac.schema import AIRPORT_COUNTS, BEST_FLIGHT, MEAN_DELAY
 from tarmac.serving import publish, register_views
 from tarmac.sinks.files import (
     merge_changes,
@@ -82,6 +82,16 @@ def test_merging_keeps_the_table(spark, tmp_path):
     assert "merged_to=3" in folders and "batch_id=0" not in folders
 
 
+def test_tombstones_hide_a_key_until_it_comes_back(spark, tmp_path):
+    root = str(tmp_path)
+    for batch_id, row in enumerate([("ATL", 5, False), ("ATL", 0, True), ("ATL", 1, False)]):
+        write_changes(spark.createDataFrame([row], AIRPORT_COUNTS.schema), root, AIRPORT_COUNTS, batch_id)
+        found = rows(read_changes(spark, root, AIRPORT_COUNTS), "airport", "n")
+        assert found == [[("ATL", 5)], [], [("ATL", 1)]][batch_id]
+        merge_changes(spark, root, AIRPORT_COUNTS)
+        assert rows(read_changes(spark, root, AIRPORT_COUNTS), "airport", "n") == found
+
+
 def test_key_filter_reaches_the_files(spark, tmp_path):
     root = str(tmp_path)
     write_changes(best(spark, BOS=10), root, BEST_FLIGHT, 0)
