@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import half_day
@@ -32,7 +32,7 @@ def best_flight(flights: DataFrame) -> DataFrame:
 
     Ties go to the earlier departure time, then to the flight's name. A stream
     keeps the least (delay, time, flight) of a key as its state; a table takes
-    the route of ``_best_by_code``, which gives the same rows.
+    the route of ``_least_by_code``, which gives the same rows.
     """
     rows = flights.select(
         "flight_date",
@@ -44,14 +44,17 @@ def best_flight(flights: DataFrame) -> DataFrame:
         "dep_time",
         "arr_delay",
     )
-    return _least_flight(rows.withColumn("flight", _flight())) if flights.isStreaming else _best_by_code(rows)
+    return _least_by_text(rows) if flights.isStreaming else _least_by_code(rows)
 
 
-def _flight() -> Column:
-    return F.concat_ws(" ", "carrier", "flight_num")
+FLIGHT = "concat_ws(' ', carrier, flight_num)"
 
 
-def _least_flight(rows: DataFrame) -> DataFrame:
+def _least_by_text(rows: DataFrame) -> DataFrame:
+    return _least(rows.selectExpr(*TRIP, "arr_delay", "dep_time", f"{FLIGHT} AS flight"))
+
+
+def _least(rows: DataFrame) -> DataFrame:
     least = F.min(F.struct("arr_delay", "dep_time", "flight")).alias("least")
     return rows.groupBy(*TRIP).agg(least).select(*TRIP, "least.*")
 
@@ -63,8 +66,25 @@ DELAY_LOW, DELAY_HIGH = -1024, 7167
 TIMES, LETTERS, NUMBERS, LENGTHS = 2_500, 64, 10_000_000, 8
 FIRST_LETTER = 32
 
+USUAL = f"""
+    coalesce(
+      arr_delay BETWEEN {DELAY_LOW} AND {DELAY_HIGH}
+        AND dep_time RLIKE '^([01][0-9]|2[0-4])[0-9]{{2}}$'
+        AND carrier RLIKE '^[0-9A-Z]{{2}}$'
+        AND flight_num RLIKE '^[0-9]{{1,7}}$',
+      false)
+"""
+# Text order of digit strings is by the digits padded on the right, then by length.
+CODE = f"""
+    (((((arr_delay - {DELAY_LOW}) * {TIMES}L + try_cast(dep_time AS BIGINT)) * {LETTERS}
+      + ascii(carrier) - {FIRST_LETTER}) * {LETTERS}
+      + ascii(substring(carrier, 2, 1)) - {FIRST_LETTER}) * {NUMBERS}
+      + try_cast(rpad(flight_num, 7, '0') AS BIGINT)) * {LENGTHS}
+      + length(flight_num)
+"""
+
 
-def _best_by_code(rows: DataFrame) -> DataFrame:
+def _least_by_code(rows: DataFrame) -> DataFrame:
     """Least flight of a table without sorting it.
 
     ``min`` over a struct holding strings makes Spark sort all input of every
@@ -74,61 +94,31 @@ def _best_by_code(rows: DataFrame) -> DataFrame:
     its own text as an extra key, so none is lost. The few rows left, one per
     trip when all are of the usual form, go through the struct.
     """
-    usual = (
-        F.col("arr_delay").between(DELAY_LOW, DELAY_HIGH)
-        & F.col("dep_time").rlike("^([01][0-9]|2[0-4])[0-9]{2}$")
-        & F.col("carrier").rlike("^[0-9A-Z]{2}$")
-        & F.col("flight_num").rlike("^[0-9]{1,7}$")
-    )
-    coded = rows.withColumn("usual", F.coalesce(usual, F.lit(False))).select(
+    coded = rows.selectExpr("*", f"{USUAL} AS usual").selectExpr(
         *TRIP,
-        F.when(F.col("usual"), _code()).otherwise(F.col("arr_delay").cast("bigint")).alias("code"),
-        F.when(~F.col("usual"), F.struct("dep_time", _flight().alias("flight"))).alias("unusual"),
+        f"CASE WHEN usual THEN {CODE} ELSE arr_delay END AS code",
+        f"CASE WHEN NOT usual THEN struct(dep_time, {FLIGHT} AS flight) END AS unusual",
     )
-    least = coded.groupBy(*TRIP, "unusual").agg(F.min("code").alias("code"))
-    return _least_flight(_decoded(least))
-
-
-def _code() -> Column:
-    def letter(i: int) -> Column:
-        return F.ascii(F.substring("carrier", i, 1)).cast("bigint") - FIRST_LETTER
-
-    # Text order of digit strings: by the digits padded on the right, then by length.
-    number = F.rpad("flight_num", 7, "0").try_cast("bigint")
-    code = F.col("arr_delay").cast("bigint") - DELAY_LOW
-    for size, digit in (
-        (TIMES, F.col("dep_time").try_cast("bigint")),
-        (LETTERS, letter(1)),
-        (LETTERS, letter(2)),
-        (NUMBERS, number),
-        (LENGTHS, F.length("flight_num")),
-    ):
-        code = code * F.lit(size).cast("bigint") + digit
-    return code
-
-
-def _decoded(least: DataFrame) -> DataFrame:
-    def digit(below: int, size: int) -> Column:
-        return F.expr(f"(code div {below}) % {size}")
-
-    def letter(below: int) -> Column:
-        return F.char(digit(below, LETTERS) + FIRST_LETTER)
-
-    at_number = LENGTHS
-    at_second = at_number * NUMBERS
-    at_first = at_second * LETTERS
-    at_time = at_first * LETTERS
-    at_delay = at_time * TIMES
-    number = F.lpad(digit(at_number, NUMBERS).cast("string"), 7, "0")
-    flight = F.concat(
-        letter(at_first), letter(at_second), F.lit(" "), F.left(number, digit(1, LENGTHS).cast("int"))
-    )
-    usual = F.col("unusual").isNull()
-    delay = F.when(usual, F.expr(f"code div {at_delay}") + DELAY_LOW).otherwise(F.col("code"))
-    time = F.lpad(digit(at_time, TIMES).cast("string"), 4, "0")
-    return least.select(
+    codes = coded.groupBy(*TRIP, "unusual").agg(F.min("code").alias("code"))
+    return _least(_decoded(codes))
+
+
+def _decoded(codes: DataFrame) -> DataFrame:
+    second = LENGTHS * NUMBERS
+    first = second * LETTERS
+    time = first * LETTERS
+    delay = time * TIMES
+    flight = f"""
+        concat(
+          char(code DIV {first} % {LETTERS} + {FIRST_LETTER}),
+          char(code DIV {second} % {LETTERS} + {FIRST_LETTER}),
+          ' ',
+          left(lpad(CAST(code DIV {LENGTHS} % {NUMBERS} AS STRING), 7, '0'), CAST(code % {LENGTHS} AS INT)))
+    """
+    return codes.selectExpr(
         *TRIP,
-        delay.cast("int").alias("arr_delay"),
-        F.when(usual, time).otherwise(F.col("unusual.dep_time")).alias("dep_time"),
-        F.when(usual, flight).otherwise(F.col("unusual.flight")).alias("flight"),
+        f"CAST(if(unusual IS NULL, code DIV {delay} + {DELAY_LOW}, code) AS INT) AS arr_delay",
+        f"""coalesce(unusual.dep_time, lpad(CAST(code DIV {time} % {TIMES} AS STRING), 4, '0'))
+            AS dep_time""",
+        f"if(unusual IS NULL, {flight}, unusual.flight) AS flight",
     )

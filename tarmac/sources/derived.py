@@ -6,9 +6,7 @@ rules of FIXTURES.md section 3.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.schema import ON_TIME
@@ -19,34 +17,32 @@ CARRIERS = tuple("AA AS B6 CO DL EV FL MQ NW OH OO UA US WN".split())
 WEEKDAYS = tuple("Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split())
 
 
-def _pick(names: Sequence[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
+def _pick(names: tuple[str, ...], index: str) -> str:
+    return f"element_at(split('{' '.join(names)}', ' '), CAST({index} + 1 AS INT))"
+
+
+DATE = "date_add(DATE'2008-01-01', CAST(l_orderkey % 60 AS INT))"
+CARRIER = _pick(CARRIERS, "l_partkey DIV 14 % 14")
+TIME = """
+    lpad(CAST((l_orderkey * 7 + l_linenumber * 5) % 24 * 100 + l_partkey % 60 AS STRING), 4, '0')
+"""
 
 
 def flights_of(lineitem: DataFrame, *keep: str) -> DataFrame:
     """Typed flights (``ON_TIME``), one per ``lineitem`` row, next to the columns to keep."""
-    date = F.expr("date_add(DATE'2008-01-01', CAST(l_orderkey % 60 AS INT))")
-    start = F.col("l_suppkey") % 15
-    part = F.col("l_partkey")
-    carrier = _pick(CARRIERS, F.expr("l_partkey DIV 14") % 14)
-    time = F.lpad(
-        (((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 5) % 24) * 100 + part % 60).cast("string"),
-        4,
-        "0",
-    )
-    return lineitem.select(
-        date.alias("flight_date"),
-        _pick(WEEKDAYS, F.weekday(date)).alias("weekday"),
-        carrier.alias("carrier_id"),
-        carrier.alias("carrier"),
-        (F.col("l_orderkey") % 9999 + 1).cast("string").alias("flight_num"),
-        _pick(AIRPORTS, start).alias("origin"),
-        _pick(AIRPORTS, (start + 1 + part % 14) % 15).alias("destination"),
-        time.alias("dep_time"),
-        F.when(F.col("l_discount") >= 0.08, 1).otherwise(0).alias("dep_delayed"),
-        time.alias("arr_time"),
-        F.greatest(F.col("l_quantity") - 20, F.lit(0.0)).cast("int").alias("arr_delay"),
-        F.when(F.col("l_quantity") >= 35, 1).otherwise(0).alias("arr_delayed"),
+    return lineitem.selectExpr(
+        f"{DATE} AS flight_date",
+        f"{_pick(WEEKDAYS, f'weekday({DATE})')} AS weekday",
+        f"{CARRIER} AS carrier_id",
+        f"{CARRIER} AS carrier",
+        "CAST(l_orderkey % 9999 + 1 AS STRING) AS flight_num",
+        f"{_pick(AIRPORTS, 'l_suppkey % 15')} AS origin",
+        f"{_pick(AIRPORTS, '(l_suppkey % 15 + 1 + l_partkey % 14) % 15')} AS destination",
+        f"{TIME} AS dep_time",
+        "if(l_discount >= 0.08D, 1, 0) AS dep_delayed",
+        f"{TIME} AS arr_time",
+        "CAST(greatest(l_quantity - 20, 0D) AS INT) AS arr_delay",
+        "if(l_quantity >= 35, 1, 0) AS arr_delayed",
         *keep,
     )
 
@@ -85,12 +81,12 @@ def damaged_lines(lineitem: DataFrame) -> DataFrame:
 
 def trip_requests(orders: DataFrame) -> DataFrame:
     """One two-leg trip wish per ``orders`` row: origin, via, destination, date of leg one."""
-    start = F.col("o_custkey") % 15
-    via = (start + 1 + F.col("o_orderkey") % 14) % 15
-    end = (via + 1 + F.expr("o_orderkey DIV 14") % 14) % 15
-    return orders.select(
-        F.expr("date_add(DATE'2008-01-01', CAST(o_orderkey % 60 AS INT))").alias("flight_date"),
-        _pick(AIRPORTS, start).alias("origin"),
-        _pick(AIRPORTS, via).alias("via"),
-        _pick(AIRPORTS, end).alias("destination"),
+    start = "o_custkey % 15"
+    via = f"({start} + 1 + o_orderkey % 14) % 15"
+    end = f"({via} + 1 + o_orderkey DIV 14 % 14) % 15"
+    return orders.selectExpr(
+        "date_add(DATE'2008-01-01', CAST(o_orderkey % 60 AS INT)) AS flight_date",
+        f"{_pick(AIRPORTS, start)} AS origin",
+        f"{_pick(AIRPORTS, via)} AS via",
+        f"{_pick(AIRPORTS, end)} AS destination",
     )

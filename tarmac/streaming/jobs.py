@@ -49,7 +49,6 @@ def start_question(
         tally.writeStream.outputMode(question.output_mode)
         .foreachBatch(sink or _file_sink(question, root))
         .option("checkpointLocation", checkpoint)
-        .queryName(question.name)
         .trigger(**trigger)
     )
     with state_settings(lines.sparkSession, state_partitions):
@@ -83,7 +82,6 @@ def start_shared(
         tally.writeStream.outputMode("complete")
         .foreachBatch(write)
         .option("checkpointLocation", paths.checkpoint(SHARED_TALLY.name))
-        .queryName(SHARED_TALLY.name)
         .trigger(**trigger)
     )
     with state_settings(lines.sparkSession, state_partitions):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import time
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -24,7 +25,7 @@ from tarmac.streaming import (
     start_rejects,
     start_shared,
 )
-from tarmac.streaming.idle import read_top_airports
+from tarmac.streaming.idle import _count_per_task, read_top_airports
 
 LINE = "2008-01-03 Thursday WN WN {num} HOU LIT 0600 1 1435 {delay}.00 1.00"
 
@@ -48,6 +49,11 @@ def stream_of(spark, folder, **options):
     return text_lines(spark, folder, stream=True, maxFilesPerTrigger=1, **options)
 
 
+def lines_read(query):
+    """Input rows of all batches; more than the lines there are if a batch ran twice."""
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
+
+
 @pytest.mark.parametrize("name", list(QUESTIONS))
 def test_stream_equals_batch(spark, flights, four_files, tmp_path, name):
     question, root = QUESTIONS[name], str(tmp_path / "table")
@@ -55,12 +61,15 @@ def test_stream_equals_batch(spark, flights, four_files, tmp_path, name):
     query = start_question(question, lines, root, str(tmp_path / "checkpoint"), trigger=BACKFILL)
     query.awaitTermination()
     assert query.lastProgress["batchId"] == 3
+    assert lines_read(query) == flights.count()
     assert rows(read_answer(spark, question, root)) == rows(question.on_lines(lines_for(name, flights)))
 
 
 def test_shared_stream_equals_batch(spark, flights, four_files, tmp_path):
     run = RunPaths(str(tmp_path))
-    start_shared(stream_of(spark, four_files[True]), run, trigger=BACKFILL).awaitTermination()
+    query = start_shared(stream_of(spark, four_files[True]), run, trigger=BACKFILL)
+    query.awaitTermination()
+    assert lines_read(query) == flights.count()
     for name in ("weekday_rank", "origin_top10_destinations", "pair_top10_carriers", "pair_mean_delay"):
         table = read_answer(spark, QUESTIONS[name], run.table(QUESTIONS[name].table.name))
         assert rows(table) == rows(QUESTIONS[name].on_records(flights)), name
@@ -109,6 +118,15 @@ def test_failed_batch_is_replayed_without_doubling(spark, flights, four_files, t
     assert rows(read_answer(spark, question, root)) == rows(question.on_records(flights))
 
 
+def test_stream_takes_files_by_name(spark, tmp_path):
+    put(tmp_path / "in", "on_2007_1.txt", LINE.format(num=1, delay=1))
+    put(tmp_path / "in", "on_2008_1.txt", LINE.format(num=2, delay=2))
+    lines = text_lines(spark, str(tmp_path / "in"), name_glob="on_2008_*", stream=True)
+    question, root = QUESTIONS["best_flight"], str(tmp_path / "t")
+    start_question(question, lines, root, str(tmp_path / "cp"), trigger=BACKFILL).awaitTermination()
+    assert [r.flight for r in read_answer(spark, question, root).collect()] == ["WN 2"]
+
+
 def test_console(spark, four_files, tmp_path, capfd):
     lines = text_lines(spark, four_files[True], stream=True)
     start_console(QUESTIONS["weekday_rank"], lines, str(tmp_path), trigger=BACKFILL).awaitTermination()
@@ -148,6 +166,19 @@ def wait_for(check, seconds=60):
     raise AssertionError("did not happen in time")
 
 
+def test_tokens_are_combined_before_their_state():
+    batches = [pa.RecordBatch.from_pydict({"airport": ["A"] * 900 + [f"X{i}"] * 100}) for i in range(5)]
+    combined = pa.Table.from_batches(_count_per_task(iter(batches))).to_pylist()
+    assert sorted((r["airport"], r["n"]) for r in combined) == [("A", 4500)] + [(f"X{i}", 100) for i in range(5)]
+
+
+def test_held_tokens_are_bounded(monkeypatch):
+    monkeypatch.setattr("tarmac.streaming.idle.HELD_ROWS", 10)
+    batches = [pa.RecordBatch.from_pydict({"airport": [f"X{i}{j}" for j in range(8)]}) for i in range(5)]
+    out = list(_count_per_task(iter(batches)))
+    assert len(out) > 1 and sum(len(b) for b in out) == 40
+
+
 def test_idle_airport_is_dropped_and_restarts_from_zero(spark, tmp_path):
     put(tmp_path / "in", "a.txt", "ATL BOS", "ATL  ORD ")
     root = str(tmp_path / "table")
