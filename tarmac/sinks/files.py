@@ -70,32 +70,50 @@ def write_changes(df: DataFrame, root: str, table: Table, batch_id: int = 0) ->
     _write(df, root, table, batch_id)
 
 
-def _latest_per_key(spark: SparkSession, root: str, table: Table, upto: int, merged: int) -> DataFrame:
-    """The upserted table of all batches up to one, starting from the merged table if there is one.
+def _merged(spark: SparkSession, root: str, table: Table, merged: int) -> DataFrame:
+    return spark.read.schema(table.schema).parquet(f"{root}/{MERGED}={merged}")
 
-    Dropped keys are left out, also for good once batches are merged.
-    """
+
+def _changed(spark: SparkSession, root: str, table: Table, batches: list[int]) -> DataFrame:
+    """The latest row of every key in the batches, one after the other in number."""
     names = table.schema.names
-    columns = f"{table.columns}, {BATCH} INT"
-    changes = spark.read.schema(columns).option("basePath", root).parquet(f"{root}/{BATCH}=*")
-    rows = changes.filter(F.col(BATCH).between(merged + 1, upto)).select(*names, BATCH)
-    if merged >= 0:
-        base = spark.read.schema(table.schema).parquet(f"{root}/{MERGED}={merged}")
-        rows = rows.union(base.select(*names, F.lit(merged).alias(BATCH)))
+    if len(batches) == 1:
+        return spark.read.schema(table.schema).parquet(f"{root}/{BATCH}={batches[0]}")
+    schema = f"{table.columns}, {BATCH} INT"
+    rows = spark.read.schema(schema).option("basePath", root).parquet(f"{root}/{BATCH}=*")
     latest = F.max_by(F.struct(*table.values), BATCH).alias("latest")
-    current = rows.groupBy(*table.key).agg(latest).select(*table.key, "latest.*").select(*names)
+    wanted = rows.filter(F.col(BATCH).between(batches[0], batches[-1]))
+    return wanted.groupBy(*table.key).agg(latest).select(*table.key, "latest.*").select(*names)
+
+
+def _unmerged(spark: SparkSession, root: str) -> tuple[int, list[int]]:
+    """The batch merged up to (-1 for none) and the whole batches after it."""
+    base = max(_whole(spark, root, MERGED), default=-1)
+    return base, [n for n in _whole(spark, root, BATCH) if n > base]
+
+
+def _current(spark: SparkSession, root: str, table: Table, base: int, batches: list[int]) -> DataFrame:
+    if not batches and base < 0:
+        return spark.createDataFrame([], table.schema)
+    if not batches:
+        return _merged(spark, root, table, base)
+    current = changed = _changed(spark, root, table, batches)
+    if base >= 0:
+        keys = changed.select(*table.key)
+        kept = _merged(spark, root, table, base).join(keys, list(table.key), "left_anti")
+        current = kept.select(*table.schema.names).union(changed)
     return current if table.tombstone is None else current.filter(~F.col(table.tombstone))
 
 
 def read_changes(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """The current rows of a change table; filters on the key reach the Parquet scans."""
-    batches, merged = _whole(spark, root, BATCH), _whole(spark, root, MERGED)
-    base = merged[-1] if merged else -1
-    if not batches or batches[-1] <= base:
-        if base < 0:
-            return spark.createDataFrame([], table.schema)
-        return spark.read.schema(table.schema).parquet(f"{root}/{MERGED}={base}")
-    return _latest_per_key(spark, root, table, batches[-1], base)
+    """The current rows of a change table, dropped keys left out.
+
+    Merged rows are kept unless a later batch has their key. The later batches
+    are few after a merge, so that test is a broadcast if Spark finds them small
+    enough, and the merged table is then read without a shuffle. Filters on the
+    key reach all scans.
+    """
+    return _current(spark, root, table, *_unmerged(spark, root))
 
 
 def merge_changes(spark: SparkSession, root: str, table: Table, *, keep: int = 1) -> None:
@@ -105,14 +123,14 @@ def merge_changes(spark: SparkSession, root: str, table: Table, *, keep: int = 1
     the next run, when readers of the former state are done; ``keep`` merged
     tables stay.
     """
-    batches, merged = _whole(spark, root, BATCH), _whole(spark, root, MERGED)
-    base = merged[-1] if merged else -1
-    if not batches or batches[-1] <= base:
+    base, batches = _unmerged(spark, root)
+    if not batches:
         return
-    current = _latest_per_key(spark, root, table, batches[-1], base)
+    current = _current(spark, root, table, base, batches)
     ordered = current.repartitionByRange(*table.key).sortWithinPartitions(*table.key)
+    folded, merged = _whole(spark, root, BATCH), _whole(spark, root, MERGED)
     ordered.write.mode("overwrite").parquet(f"{root}/{MERGED}={batches[-1]}")
-    for old in batches:
+    for old in folded:
         if old <= base:
             _delete(spark, f"{root}/{BATCH}={old}")
     for old in merged[:-keep]:
