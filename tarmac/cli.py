@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tarmac.plans.questions import QUESTIONS
 from tarmac.sinks.external import write_cassandra
 from tarmac.sources import kafka_lines, text_lines
+from tarmac.sources.kafka import ON_TIME_TOPIC
 from tarmac.streaming import (
     BACKFILL,
     RunPaths,
@@ -19,12 +20,18 @@ from tarmac.streaming import (
     start_console,
     start_idle_counts,
     start_question,
+    start_shared,
 )
 
 
+SHARED = "shared"
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="run_job.py", description="Keep one question answered.")
-    p.add_argument("question", choices=list(QUESTIONS))
+    p.add_argument(
+        "question", choices=[*QUESTIONS, SHARED], help=f"{SHARED}: the four summing questions in one pass"
+    )
     source = p.add_mutually_exclusive_group(required=True)
     source.add_argument("--kafka", metavar="SERVERS", help="brokers holding the question's topic")
     source.add_argument("--files", metavar="PATH", help="folder or pattern of record files")
@@ -46,26 +53,32 @@ def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     bound = "maxOffsetsPerTrigger" if args.kafka else "maxFilesPerTrigger"
     options = {} if args.per_batch is None else {bound: args.per_batch}
     if args.kafka:
-        return kafka_lines(spark, args.kafka, args.topic or QUESTIONS[args.question].topic, **options)
+        own = ON_TIME_TOPIC if args.question == SHARED else QUESTIONS[args.question].topic
+        return kafka_lines(spark, args.kafka, args.topic or own, **options)
     return text_lines(spark, args.files, name_glob=args.name_glob, stream=True, **options)
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery, RunPaths]:
     """Start the job the arguments ask for."""
-    question = QUESTIONS[args.question]
     paths = RunPaths(args.run) if args.run else fresh_run(shared_folder(spark))
-    lines, root = _lines(spark, args), paths.table(question.table.name)
+    lines = _lines(spark, args)
     common = {
         "trigger": BACKFILL if args.backfill else {"processingTime": f"{args.seconds} seconds"},
         "state_partitions": args.state_partitions,
     }
     if args.idle_minutes is not None:
-        if question.name != "airport_top10" or args.sink != "files" or args.backfill:
+        if args.question != "airport_top10" or args.sink != "files" or args.backfill:
             raise SystemExit("--idle-minutes goes with airport_top10 --sink files, without --backfill")
         idle_ms = int(args.idle_minutes * 60_000)
         root, checkpoint = paths.table("airport_counts"), paths.checkpoint("airport_counts")
         return start_idle_counts(lines, root, checkpoint, idle_ms=idle_ms, **common), paths
     common["mode"] = "strict" if args.strict else "permissive"
+    if args.question == SHARED:
+        if args.sink != "files":
+            raise SystemExit("shared goes with --sink files")
+        return start_shared(lines, paths, **common), paths
+    question = QUESTIONS[args.question]
+    root = paths.table(question.table.name)
     checkpoint = paths.checkpoint(question.name)
     if args.sink == "console":
         return start_console(question, lines, checkpoint, **common), paths

@@ -32,6 +32,7 @@ class Question:
     answer: Step
     table: schema.Table
     output_mode: str = "complete"
+    state_partitions: int | None = None  # enough for the keys there can be; none if they keep coming
 
     def records(self, lines: DataFrame, mode: str = "permissive") -> DataFrame:
         """What the tally reads, from text lines."""
@@ -95,9 +96,22 @@ def _tally(keys: tuple[str, ...], measure: str) -> Step:
 
 
 def _delay_question(
-    name: str, keys: tuple[str, ...], measure: str, answer: Step, table: schema.Table
+    name: str,
+    keys: tuple[str, ...],
+    measure: str,
+    answer: Step,
+    table: schema.Table,
+    state_partitions: int = 64,
 ) -> Question:
-    return Question(name, ON_TIME_TOPIC, (*keys, measure), _tally(keys, measure), answer, table)
+    return Question(
+        name,
+        ON_TIME_TOPIC,
+        (*keys, measure),
+        _tally(keys, measure),
+        answer,
+        table,
+        state_partitions=state_partitions,
+    )
 
 
 PAIR = ("origin", "destination")
@@ -112,8 +126,9 @@ QUESTIONS = {
             airport_counts,
             _airports,
             schema.AIRPORT_TOP10,
+            state_partitions=16,
         ),
-        _delay_question("weekday_rank", ("weekday",), "arr_delayed", _weekdays, schema.WEEKDAY_RANK),
+        _delay_question("weekday_rank", ("weekday",), "arr_delayed", _weekdays, schema.WEEKDAY_RANK, 4),
         _delay_question(
             "origin_top10_destinations", PAIR, "dep_delayed", _destinations, schema.TOP10_DESTINATIONS
         ),

@@ -84,7 +84,8 @@ def start_idle_counts(
     under ``availableNow``; use a live trigger and ``stop()``, or ``once``.
     """
     tokens = airport_tokens(lines).mapInArrow(_count_per_task, "airport STRING, n BIGINT")
-    with state_settings(lines.sparkSession, state_partitions):
+    at_most = QUESTIONS["airport_top10"].state_partitions
+    with state_settings(lines.sparkSession, state_partitions, at_most):
         counts = tokens.groupBy("airport").transformWithState(
             IdleCount(idle_ms), AIRPORT_COUNTS.columns, "update", "processingTime"
         )

@@ -18,6 +18,8 @@ from tarmac.streaming.state import state_settings
 LIVE: Mapping[str, Any] = {"processingTime": "10 seconds"}
 BACKFILL: Mapping[str, Any] = {"availableNow": True}
 
+SHARED_STATE_PARTITIONS = 64
+
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -51,7 +53,7 @@ def start_question(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
-    with state_settings(lines.sparkSession, state_partitions):
+    with state_settings(lines.sparkSession, state_partitions, question.state_partitions):
         return writer.start()
 
 
@@ -84,7 +86,7 @@ def start_shared(
         .option("checkpointLocation", paths.checkpoint(SHARED_TALLY.name))
         .trigger(**trigger)
     )
-    with state_settings(lines.sparkSession, state_partitions):
+    with state_settings(lines.sparkSession, state_partitions, SHARED_STATE_PARTITIONS):
         return writer.start()
 
 

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+PARTITIONS = "spark.sql.shuffle.partitions"
 # State lives on disk with increments uploaded per batch, so it may outgrow memory.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -17,15 +18,21 @@ STATE_SETTINGS = {
 
 
 @contextmanager
-def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
-    """Set them, and the number of state partitions if given, then restore the session's own.
+def state_settings(
+    spark: SparkSession, partitions: int | None = None, at_most: int | None = None
+) -> Iterator[None]:
+    """Set them, then restore the session's own.
 
-    A query takes its settings when it starts; the number of partitions stays
-    with its checkpoint.
+    The state gets the given number of partitions; by default the session's
+    number of shuffle partitions, but not more than ``at_most``, as every
+    partition writes files in every batch. A query takes its settings when it
+    starts, and the number of partitions stays with its checkpoint.
     """
     wanted = dict(STATE_SETTINGS)
+    if partitions is None and at_most is not None:
+        partitions = min(int(spark.conf.get(PARTITIONS)), at_most)
     if partitions is not None:
-        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+        wanted[PARTITIONS] = str(partitions)
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)

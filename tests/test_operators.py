@@ -142,7 +142,8 @@ def test_first_k_has_no_full_sort(spark):
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("AB"), st.integers(0, 3), st.integers(0, 30)), min_size=1, max_size=50))
 def test_ranks_are_without_gaps_and_percent_never_falls(spark, triples):
-    df = spark.createDataFrame(list({(g, name): (g, name, pct) for g, pct, name in triples}.values()), "g STRING, name INT, pct INT")
+    named = {(g, name): (g, name, pct) for g, pct, name in triples}
+    df = spark.createDataFrame(list(named.values()), "g STRING, name INT, pct INT")
     ranked = top_k_per_group(df, ["g"], ["pct", "name"], 5)
     by_group: dict = {}
     for g, rank, pct in ranked.select("g", "rank", "pct").collect():

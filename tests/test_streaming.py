@@ -226,8 +226,28 @@ def test_command_line_job(spark, flights, four_files, tmp_path):
     query.awaitTermination()
     question = QUESTIONS["pair_top10_carriers"]
     assert rows(read_answer(spark, question, run.table(question.table.name))) == rows(question.on_records(flights))
+    query, run = start(spark, arguments("shared", four_files[True]))
+    query.awaitTermination()
+    question = QUESTIONS["weekday_rank"]
+    assert rows(read_answer(spark, question, run.table(question.table.name))) == rows(question.on_records(flights))
+
+
+@pytest.mark.parametrize(
+    "arguments",
+    [
+        ["best_flight", "--idle-minutes", "1"],
+        ["shared", "--sink", "console"],
+        ["best_flight", "--sink", "cassandra"],
+    ],
+)
+def test_command_line_refuses_what_does_not_go_together(spark, four_files, arguments):
     with pytest.raises(SystemExit):
-        start(spark, parser().parse_args(["best_flight", "--files", four_files[True], "--idle-minutes", "1"]))
+        start(spark, parser().parse_args([*arguments, "--files", four_files[True]]))
+
+
+def test_command_line_kafka_needs_its_package(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        start(spark, parser().parse_args(["shared", "--kafka", "broker:9092"]))
 
 
 def test_runs_share_nothing(spark, tmp_path):
@@ -237,6 +257,26 @@ def test_runs_share_nothing(spark, tmp_path):
     assert not named or shared_folder(spark) == named
 
 
+@pytest.mark.parametrize("name, session, asked, given", [
+    ("weekday_rank", 8, None, 4), ("weekday_rank", 2, None, 2), ("weekday_rank", 8, 3, 3), ("best_flight", 5, None, 5),
+])
+def test_state_partitions(spark, tmp_path, name, session, asked, given):
+    put(tmp_path / "in", "a.txt", LINE.format(num=1, delay=1))
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", session)
+    query = start_question(
+        QUESTIONS[name],
+        text_lines(spark, str(tmp_path / "in"), stream=True),
+        str(tmp_path / "t"),
+        str(tmp_path / "cp"),
+        trigger=BACKFILL,
+        state_partitions=asked,
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", own)
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == given
+
+
 def test_session_settings_are_restored(spark, four_files, tmp_path):
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name, None), spark.conf.get("spark.sql.shuffle.partitions")
