@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 import pytest
 from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tarmac.operators.parse import FIELDS, airport_tokens, parse_on_time, rejects
 from tarmac.schema import ON_TIME
@@ -89,3 +92,57 @@ def test_line_is_split_once(lines_of, columns):
 )
 def test_tokens(lines_of, line, tokens):
     assert [r.airport for r in airport_tokens(lines_of(line)).collect()] == tokens
+
+
+def whole(text):
+    return int(float(text))
+
+
+def day(text):
+    if not re.fullmatch("[0-9]{4}-[0-9]{2}-[0-9]{2}", text):
+        raise ValueError(text)
+    return datetime.date.fromisoformat(text)
+
+
+def hhmm(text):
+    int(text)
+    return text
+
+
+READERS = (day, str, str, str, str, str, str, hhmm, whole, str, whole, whole)
+
+
+def parse_by_hand(line):
+    """The twelve fields, or the name of the first field at fault."""
+    fields, typed = line.rstrip(" ").split(" "), []
+    for column, read in enumerate(READERS):
+        if column >= len(fields):
+            return f"missing {FIELDS[column]}"
+        try:
+            typed.append(read(fields[column]))
+        except ValueError:
+            return f"unreadable {FIELDS[column]}"
+    return tuple(typed)
+
+
+@st.composite
+def any_line(draw):
+    fields = LINE.split(" ")
+    for _ in range(draw(st.integers(0, 2))):
+        at = draw(st.integers(0, 11))
+        fields[at] = draw(
+            st.sampled_from(["", "x", "2008-02-30", "2008-2-03", "1e1", "-16.9", "16.", ".5", "0600", "-5", "1,0"])
+        )
+    fields = fields[: draw(st.integers(8, 14))] + draw(st.lists(st.just("extra"), max_size=1))
+    return " ".join(fields) + " " * draw(st.integers(0, 2))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(any_line(), min_size=1, max_size=30))
+def test_lines_are_parsed_as_by_hand(spark, lines):
+    expected = [(line, parse_by_hand(line)) for line in lines]
+    df = spark.createDataFrame([(line,) for line in lines], "value STRING")
+    good = sorted((found for _, found in expected if isinstance(found, tuple)), key=repr)
+    bad = sorted((found, line) for line, found in expected if isinstance(found, str))
+    assert rows(parse_on_time(df), *FIELDS) == good
+    assert rows(rejects(df)) == sorted(bad, key=repr)

@@ -216,6 +216,16 @@ def test_idle_counts_add_up_over_batches(spark, flights, four_files, tmp_path):
         query.stop()
 
 
+def test_idle_counts_go_on_after_a_restart(spark, tmp_path):
+    root, checkpoint = str(tmp_path / "table"), str(tmp_path / "cp")
+    for name, expected in (("a.txt", 2), ("b.txt", 4)):
+        put(tmp_path / "in", name, "ATL BOS", "ATL ORD")
+        lines = text_lines(spark, str(tmp_path / "in"), stream=True)
+        start_idle_counts(lines, root, checkpoint, trigger={"once": True}).awaitTermination()
+        top = read_top_airports(spark, root).filter("airport = 'ATL'")
+        assert [(r.n, r["rank"]) for r in top.collect()] == [(expected, 1)]
+
+
 def test_command_line_job(spark, flights, four_files, tmp_path):
     def arguments(question, folder):
         return parser().parse_args(
