@@ -25,6 +25,7 @@ from tarmac.streaming import (
 
 
 SHARED = "shared"
+LIVE_FILES = 8
 
 
 def parser() -> argparse.ArgumentParser:
@@ -90,7 +91,9 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery
         def sink(batch: DataFrame, batch_id: int) -> None:
             write_cassandra(question.answer(batch), args.keyspace, question.table)
 
-    return start_question(question, lines, root, checkpoint, sink=sink, **common), paths
+    # A live batch is small; the rows of a backfill stay in the partitions they come in.
+    files = None if args.backfill else question.table.files or LIVE_FILES
+    return start_question(question, lines, root, checkpoint, files=files, sink=sink, **common), paths
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +24,11 @@ SHARED_STATE_PARTITIONS = 64
 Sink = Callable[[DataFrame, int], None]
 
 
-def _file_sink(question: Question, root: str) -> Sink:
+def _file_sink(question: Question, root: str, files: int | None) -> Sink:
     """Complete answers go to a snapshot table, touched keys to a change table."""
     write = write_snapshot if question.output_mode == "complete" else write_changes
-    return lambda batch, batch_id: write(question.answer(batch), root, question.table, batch_id)
+    table = question.table if files is None else replace(question.table, files=files)
+    return lambda batch, batch_id: write(question.answer(batch), root, table, batch_id)
 
 
 def start_question(
@@ -38,18 +40,21 @@ def start_question(
     trigger: Mapping[str, Any] = LIVE,
     mode: str = "permissive",
     state_partitions: int | None = None,
+    files: int | None = None,
     sink: Sink | None = None,
 ) -> StreamingQuery:
     """Keep a question's serving table under ``root`` up to date with a stream of lines.
 
-    A restart on the same checkpoint goes on where it stopped. ``sink`` replaces
-    the file table; it gets each batch's tally and batch number, and must do the
-    same again if a batch is replayed.
+    A restart on the same checkpoint goes on where it stopped. ``files`` is the
+    number of files of a batch, if not the table's own; a live ``best_flight``
+    should have few, a backfill none given. ``sink`` replaces the file table; it
+    gets each batch's tally and batch number, and must do the same again if a
+    batch is replayed.
     """
     tally = question.tally(question.records(lines, mode))
     writer = (
         tally.writeStream.outputMode(question.output_mode)
-        .foreachBatch(sink or _file_sink(question, root))
+        .foreachBatch(sink or _file_sink(question, root, files))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )

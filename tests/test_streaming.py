@@ -118,6 +118,16 @@ def test_failed_batch_is_replayed_without_doubling(spark, flights, four_files, t
     assert rows(read_answer(spark, question, root)) == rows(question.on_records(flights))
 
 
+def test_files_of_a_live_batch(spark, four_files, tmp_path):
+    root = tmp_path / "t"
+    lines = text_lines(spark, four_files[True], stream=True)
+    question = QUESTIONS["best_flight"]
+    start_question(
+        question, lines, str(root), str(tmp_path / "cp"), trigger=BACKFILL, files=2
+    ).awaitTermination()
+    assert len(list((root / "batch_id=0").glob("*.parquet"))) == 2
+
+
 def test_stream_takes_files_by_name(spark, tmp_path):
     put(tmp_path / "in", "on_2007_1.txt", LINE.format(num=1, delay=1))
     put(tmp_path / "in", "on_2008_1.txt", LINE.format(num=2, delay=2))
