@@ -26,8 +26,7 @@ def whole_number(text: Column) -> Column:
 def padded_date(text: Column) -> Column:
     """``yyyy-MM-dd`` text to DATE; months and days need both digits.
 
-    A cast takes less time than parsing by a date pattern, but reads more forms
-    than this one; the test leaves it only this one.
+    A cast reads more forms than this one; the test leaves it only this one.
     """
     return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
 
