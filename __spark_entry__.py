@@ -47,6 +47,12 @@ from tarmac.streaming import (
 )
 from tarmac.streaming.idle import read_top_airports
 
+try:
+    from tarmac.llm.queries import ORACLE_SQL as LLM_SQL
+    from tarmac.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:  # the library works without its training-data operators
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -265,6 +271,7 @@ def queries() -> dict[str, Query]:
         "two_leg_trips": trips,
         "backfill_all": backfill_all,
         "backfill_glob": backfill_glob,
+        **LLM_QUERIES,
     }
 
 
@@ -476,4 +483,5 @@ def oracle_sql() -> dict[str, str]:
         "two_leg_trips": TRIPS_SQL,
         "backfill_all": AIRPORT_TOP10_SQL,
         "backfill_glob": MEAN_SQL.format(where="flight_date < DATE '2008-02-01'"),
+        **LLM_SQL,
     }
