@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import SPACE, keep, words_of
 
 WINDOW = 8
+#: Stand for common words, so there are at most as many of these.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Character classes by pattern; white space and all else are the last two.
 CLASSES = (
@@ -50,13 +52,40 @@ class Rules:
     broadcast_languages: int = 1024
 
 
-def _matches(text: Column, pattern: str) -> Column:
+def _count(text: Column, pattern: str) -> Column:
     """How many characters a pattern of one character matches."""
     inverse = f"[^{pattern[1:-1]}]" if pattern.startswith("[") else f"[^{pattern}]"
     return F.length(F.regexp_replace(text, f"{inverse}+", ""))
 
 
-def repeat_words(words: Column, windows: Column) -> Column:
+def _classes(df: DataFrame, text: str, *also: Column) -> DataFrame:
+    """``classes``, the counts of each character class, and the columns beside them.
+
+    Lower-case letters are taken out first; what they leave is a fifth of usual text.
+    ``left`` is what they leave.
+    """
+    left = F.regexp_replace(text, f"{CLASSES[0][1]}+", "")
+    df = df.select("*", left.alias("left"))
+    others = [_count(F.col("left"), p) for _, p in CLASSES[1:]]
+    space = F.length("left") - F.length(F.regexp_replace("left", f"{SPACE}+", ""))
+    df = df.select("*", F.array(F.length(text) - F.length("left"), *others, space).alias("known"), *also)
+    rest = F.length(text) - sum((F.get("known", F.lit(k)) for k in range(len(CLASSES) + 1)), F.lit(0))
+    return df.select("*", F.concat("known", F.array(rest)).alias("classes"))
+
+
+def window_hashes(df: DataFrame) -> DataFrame:
+    """``windows``: a hash of each window of words, from hashes of two and of four."""
+    n = F.greatest(F.size("words"), F.lit(1))
+    halves = lambda size: F.zip_with(
+        "windows", F.slice("windows", size + 1, n), lambda a, b: F.xxhash64(a, b)
+    )
+    df = df.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("windows"))
+    for size in (1, 2, 4):
+        df = df.withColumn("windows", halves(size))
+    return df.withColumn("windows", F.slice("windows", 1, F.greatest(F.size("words") - (WINDOW - 1), F.lit(0))))
+
+
+def repeat_words(windows: Column) -> Column:
     """Words in windows found twice or more, given a hash per window."""
     places = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     before = F.concat(F.array(F.lit(None).cast("bigint")), places["h"])
@@ -76,43 +105,20 @@ def repeat_words(words: Column, windows: Column) -> Column:
 def base_counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``row`` (all columns of the document), its words, base counts, ``base_failed`` and class counts."""
     text = F.coalesce(F.col("row.text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.regexp_replace(x, f"{SPACE}+", "")) > 0)
+    lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(f"[^{SPACE[1:-1]}]"))
     df = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    df = df.select("row", text.alias("t"), words_of(text).alias("words"), lines.alias("lines"))
-    df = df.select(
-        "row",
-        "t",
-        "words",
-        F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.regexp_replace("t", f"{SPACE}+", "")).cast("bigint").alias("word_chars"),
-        _matches(F.col("t"), SYMBOLS).cast("bigint").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.array(*(_matches(F.col("t"), p) for _, p in CLASSES)).alias("counts"),
-        F.when(
-            F.size("words") > WINDOW,
-            F.transform(
-                F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)),
-                lambda i: F.xxhash64(F.slice(F.col("words"), i, WINDOW)),
-            ),
-        ).alias("windows"),
-    )
-    known = F.aggregate("counts", F.lit(0), lambda a, x: a + x)
+    df = df.select("row", text.alias("t")).select("row", "t", words_of(F.col("t")).alias("words"), lines.alias("lines"))
+    df = _classes(window_hashes(df), "t", _count(F.col("left"), SYMBOLS).cast("bigint").alias("n_symbols"))
     repeated = F.size(F.array_distinct("windows")) < F.size("windows")
     df = df.select(
         "row",
         "words",
-        "n_words",
-        "word_chars",
+        F.size("words").cast("bigint").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         "n_symbols",
-        "n_dup_lines",
-        F.when(repeated, repeat_words(F.col("words"), F.col("windows"))).otherwise(0).cast("bigint").alias("n_repeat_words"),
-        F.concat(
-            "counts",
-            F.array(
-                (F.length("t") - F.col("word_chars")).cast("int"),
-                (F.col("word_chars") - known).cast("int"),
-            ),
-        ).alias("classes"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+        F.when(repeated, repeat_words(F.col("windows"))).otherwise(0).cast("bigint").alias("n_repeat_words"),
+        "classes",
     )
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
@@ -128,15 +134,10 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     labelled = docs.filter("lang IS NOT NULL").select("lang", text.alias("t"))
-    bare = F.length(F.regexp_replace("t", f"{SPACE}+", ""))
-    classes = [*(_matches(F.col("t"), p) for _, p in CLASSES)]
-    sums = labelled.select("lang", F.length("t").alias("n"), bare.alias("bare"), *(c.alias(f"c{i}") for i, c in enumerate(classes)))
-    sums = sums.groupBy("lang").agg(*(F.sum(c).alias(c) for c in sums.columns[1:]))
-    known = sum((F.col(f"c{i}") for i in range(len(CLASSES))), F.lit(0))
-    sums = sums.select(
-        "lang",
-        F.array(*(f"c{i}" for i in range(len(CLASSES))), F.col("n") - F.col("bare"), F.col("bare") - known).alias("class_sums"),
-    )
+    bins = range(len(CLASSES) + 2)
+    sums = _classes(labelled, "t").select("lang", *(F.get("classes", F.lit(k)).alias(f"c{k}") for k in bins))
+    sums = sums.groupBy("lang").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in bins))
+    sums = sums.select("lang", F.array(*(f"c{k}" for k in bins)).alias("class_sums"))
     words = labelled.select("lang", F.explode(words_of(F.col("t"))).alias("word"))
     short = F.when(F.length("word") <= rules.max_word_chars, F.col("word"))
     counted = keep(words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n")))
@@ -160,11 +161,9 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def _distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance (base 2) of two arrays of counts."""
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v.cast("double"))
-    share = lambda x: F.transform(x, lambda v: v.cast("double") / total(x))
+    """Jensen-Shannon distance (base 2) of two arrays of shares."""
     part = lambda a, b: F.when(a > 0, a * F.log2(a / ((a + b) / 2))).otherwise(0.0)
-    both = F.zip_with(share(p), share(q), lambda a, b: part(a, b) + part(b, a))
+    both = F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a))
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(both, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
@@ -175,26 +174,27 @@ def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         refs = F.broadcast(refs)
     df = base_counts(docs, rules)
     df = df.join(refs, df["row.lang"] == refs["ref_lang"], "left")
-    # Two spaces between words, so that neighbours are found as well.
-    padded = F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" "))
-    df = df.select(*(c for c in df.columns if c != "words"), padded.alias("padded"))
-    found = F.transform(
-        "common",
-        lambda w: (F.length("padded") - F.length(F.replace(F.col("padded"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
-        / (F.length(w) + 2),
-    )
-    df = df.withColumn("found", found)
-    rest = lambda hist, n: F.concat(
-        F.transform(hist, lambda v: v.cast("double")),
-        F.array(n.cast("double") - F.aggregate(hist, F.lit(0.0), lambda a, v: a + v.cast("double"))),
+    # One letter for each word: its place among the common words, or "." for none.
+    letter = lambda w: F.substr(F.lit("." + _LETTERS), F.array_position("common", w) + 1, F.lit(1))
+    letters = F.array_join(F.transform("words", letter), "").alias("letters")
+    df = df.select(*(c for c in df.columns if c != "words"), letters)
+    at = lambda c, n: [F.coalesce(F.get(c, F.lit(k)), F.lit(0)).cast("double") for k in range(n)]
+    total = lambda columns: sum(columns, F.lit(0.0))
+    bins, common = len(CLASSES) + 2, rules.common_words
+    found = [F.length("letters") - F.length(F.replace("letters", F.lit(_LETTERS[k]), F.lit(""))) for k in range(common)]
+    df = df.select(
+        *(c for c in df.columns if c != "letters"),
+        F.array(*found).alias("found"),
+        total(at("classes", bins)).alias("own_chars"),
+        total(at("class_sums", bins)).alias("all_chars"),
     )
-    long_enough = F.aggregate("classes", F.lit(0), lambda a, x: a + x) >= rules.min_class_chars
-    enough_words = F.col("n_words") >= rules.min_common_words
-    by_class = F.when(F.col("total").isNotNull() & long_enough, _distance(F.col("classes"), F.col("class_sums")))
-    by_word = F.when(
-        F.col("total").isNotNull() & enough_words,
-        _distance(rest(F.col("found"), F.col("n_words")), rest(F.col("common_counts"), F.col("total"))),
+    shares = lambda counts, n: F.array(*(c / F.col(n) for c in counts))
+    with_rest = lambda c, n: [*at(c, common), F.col(n) - total(at(c, common))]
+    by_class = _distance(shares(at("classes", bins), "own_chars"), shares(at("class_sums", bins), "all_chars"))
+    by_word = _distance(
+        shares(with_rest("found", "n_words"), "n_words"), shares(with_rest("common_counts", "total"), "total")
     )
+    known = F.col("total").isNotNull()
     df = df.select(
         "row",
         "n_words",
@@ -203,13 +203,16 @@ def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        by_class.alias("class_distance"),
-        by_word.alias("word_distance"),
+        F.when(known & (F.col("own_chars") >= rules.min_class_chars), by_class).alias("class_distance"),
+        F.when(known & (F.col("n_words") >= rules.min_common_words), by_word).alias("word_distance"),
     )
     far = (F.coalesce("class_distance", F.lit(0.0)) > rules.max_class_distance) | (
         F.coalesce("word_distance", F.lit(0.0)) > rules.max_word_distance
     )
-    return df.withColumn("kept", ~F.col("base_failed") & ~far)
+    verdict = F.struct(*(c for c in df.columns if c != "row"), (~F.col("base_failed") & ~far).alias("kept"))
+    # A filter on the verdict would move below the projections and repeat their work for
+    # each use of a column; it does not move below a generator.
+    return df.select("row", F.explode(F.array(verdict)).alias("verdict")).select("row", "verdict.*")
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
