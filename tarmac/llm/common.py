@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +34,14 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def free_name(taken: Iterable[str], name: str) -> str:
-    """The name, with underscores before it until no column has it."""
-    lower = {x.lower() for x in taken}
-    while name.lower() in lower:
-        name = f"_{name}"
-    return name
+def keep_in_buckets(df: DataFrame, column: str) -> DataFrame:
+    """Like ``keep``, as a table in buckets of a column: joins by it need no shuffle of this side.
+
+    ``df`` should come from a grouping by the column, so that a task holds few buckets.
+    """
+    spark = SparkSession.getActiveSession() or df.sparkSession
+    name = f"llm_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = df.write.bucketBy(buckets, column).option("path", f"{shared_folder(spark)}/{name}")
+    out.option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)

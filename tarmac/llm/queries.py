@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, minhash, packing, quality, secrets
+from tarmac.llm import decontaminate, minhash, packing, quality, secrets, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(_table(spark, sf_dir, "documents"))
 
 
+def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_secrets": op2_secrets,
+    "op4_repeated_substrings": op4_repeated_substrings,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
