@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, minhash, packing, quality, secrets, substrings
+from tarmac.llm import decontaminate, html, language, licenses, minhash, packing, quality, quotes, secrets, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,18 +19,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = quotes.link_quotations(_table(spark, sf_dir, "conversations"))
+    return linked.select("row.conv_id", "row.turn", "row.role", *(c for c in linked.columns if c != "row"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(_table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(_table(spark, sf_dir, "documents"))
+
+
 def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -53,9 +70,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quotations": op1_quotations,
     "op2_secrets": op2_secrets,
+    "op3_licenses": op3_licenses,
     "op4_repeated_substrings": op4_repeated_substrings,
+    "op5_main_text": op5_main_text,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
