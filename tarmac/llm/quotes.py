@@ -122,6 +122,6 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         F.coalesce("quote_depth", F.lit(0)).cast("bigint").alias("quote_depth"),
     )
     own = F.array_join(F.filter("lines", lambda x: x["level"] == 0)["text"], "\n")
-    text = F.when(F.col("row.text").isNotNull(), F.trim(own)).alias("own_text")
+    text = F.when(F.col("row.text").isNotNull(), F.regexp_replace(own, r"^\s+|\s+$", "")).alias("own_text")
     df = df.select("row", "conv_id", "turn", text)
     return df.join(linked, ["conv_id", "turn"], "left").drop("conv_id", "turn")

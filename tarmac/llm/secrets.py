@@ -3,9 +3,9 @@
 The patterns give the base findings and, by a bounded sample of their values, the
 labelled credentials. From these one probabilistic automaton per kind is inferred
 (``automata``). Every other token of credential characters, letters and digits mixed,
-is a candidate in every whole text; it is found if some automaton makes it likelier
-per character than all but a fraction of its own examples, and likelier by a margin
-than ordinary words are made by an automaton of ordinary words.
+is a candidate in every whole text; it is found if some automaton makes it about as
+likely per character as its least likely example, and likelier by a margin than an
+automaton of ordinary words does.
 
 Defined results: a null text is empty and has no findings. Repeated rows are scanned
 one by one. Without labelled credentials only the base findings are made.
@@ -37,11 +37,12 @@ _HINT = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}"
 
 _TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+_PLAIN = r"^\p{L}{4,20}[.,;:!?]?$"
 
 #: The labelled sample: so many different values of each kind, none longer than this, and so many ordinary words.
 SAMPLE_VALUES, SAMPLE_CHARS, SAMPLE_WORDS = 300, 80, 2000
-#: Share of its own examples that an automaton may find unlikely, and the margin over ordinary words in bits.
-TAIL, MARGIN = 0.02, 1.0
+#: Bits per character that a token may be less likely than the least likely example, and must be likelier than as an ordinary word.
+SLACK, MARGIN = 0.25, 1.0
 
 
 def base_findings(text: str) -> list[tuple[int, str, int, str]]:
@@ -73,8 +74,7 @@ def learn(values: dict[str, list[str]], plain: list[str]) -> Formats:
         examples = sorted(set(values[kind]))
         if len(examples) >= 10:
             automaton = Automaton(examples)
-            bits = sorted(automaton.bits(v) for v in examples)
-            credentials.append((automaton, bits[int(TAIL * len(bits))]))
+            credentials.append((automaton, min(map(automaton.bits, examples)) - SLACK))
     return Formats(credentials, Automaton(sorted(plain)) if plain else None)
 
 
@@ -107,7 +107,7 @@ def learn_formats(docs: DataFrame) -> Formats:
     for row in sample:
         by_kind.setdefault(row["kind"], []).append(row["value"])
     word = hinted.select(F.explode(words_of(F.col("text"))).alias("word"))
-    word = word.filter(F.length("word").between(4, SAMPLE_CHARS) & ~F.col("word").rlike("[0-9]"))
+    word = word.filter(F.col("word").rlike(_PLAIN))
     plain = word.orderBy(F.xxhash64("word"), "word").limit(4 * SAMPLE_WORDS).distinct()
     return learn(by_kind, [r["word"] for r in plain.orderBy("word").limit(SAMPLE_WORDS).collect()])
 
