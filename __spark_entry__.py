@@ -24,7 +24,7 @@ from tarmac.plans import (
 )
 from tarmac.plans.shared import SHARED_QUESTIONS
 from tarmac.serving import publish, register_views
-from tarmac.sinks.files import merge_changes
+from tarmac.sinks.files import merge_changes, rename_files
 from tarmac.sources import text_lines
 from tarmac.sources.derived import (
     AIRPORTS,
@@ -39,6 +39,7 @@ from tarmac.streaming import (
     BACKFILL,
     fresh_run,
     read_answer,
+    rejects_of,
     shared_folder,
     start_idle_counts,
     start_question,
@@ -173,6 +174,42 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(run.table("rejects"))
 
 
+def _damaged_job(spark: SparkSession, sf_dir: str) -> str:
+    """The mean delays kept by a stream over damaged lines; gives the table's root."""
+    question, run = QUESTIONS["pair_mean_delay"], _run(spark)
+    lines, root = damaged_lines(_lineitem(spark, sf_dir, stream=True)), run.table(question.table.name)
+    start_question(question, lines, root, run.checkpoint(question.name), trigger=BACKFILL).awaitTermination()
+    return root
+
+
+def stream_damaged_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_answer(spark, QUESTIONS["pair_mean_delay"], _damaged_job(spark, sf_dir))
+
+
+def stream_damaged_mean_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(rejects_of(_damaged_job(spark, sf_dir)))
+
+
+def _with_nulls(name: str) -> Query:
+    """An answer from typed flights of which some lack the delay and some the time."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        flights, tax = flights_of(_lineitem(spark, sf_dir), "l_tax"), F.round("l_tax", 2)
+        flights = flights.withColumn("arr_delay", F.when(tax != 0.05, F.col("arr_delay")))
+        return QUESTIONS[name].on_records(flights.withColumn("dep_time", F.when(tax != 0.06, F.col("dep_time"))))
+
+    return query
+
+
+def republished_best_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published from one delivery, merged, then published again from all flights."""
+    question, run, lineitem = QUESTIONS["best_flight"], _run(spark), _lineitem(spark, sf_dir)
+    root = publish(question, flights_of(lineitem.filter("l_linenumber <= 3")), run)
+    merge_changes(spark, root, question.table)
+    publish(question, flights_of(lineitem), run)
+    return read_answer(spark, question, root)
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_tokens(origin_destination_lines(_flights(spark, sf_dir)))
 
@@ -233,6 +270,24 @@ def backfill_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUESTIONS["pair_mean_delay"].on_lines(lines)
 
 
+def backfill_on_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean delays of all files of a folder of flights."""
+    folder = f"{_run(spark).root}/on"
+    _bz2_files(on_time_lines(_flights(spark, sf_dir)), folder)
+    return QUESTIONS["pair_mean_delay"].on_lines(text_lines(spark, folder, name_glob="*.bz2"))
+
+
+def backfill_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean delays of the files of one month, chosen by name among all in one folder."""
+    run = _run(spark)
+    flights = _flights(spark, sf_dir).withColumn("month", F.date_format("flight_date", "yyyy_M"))
+    _bz2_files(on_time_lines(flights, "month"), f"{run.root}/months", "month")
+    folder = f"{run.root}/on"
+    rename_files(spark, f"{run.root}/months", folder, "On_Time_On_Time_Performance")
+    lines = text_lines(spark, folder, name_glob="On_Time_On_Time_Performance_2008_2_*.bz2")
+    return QUESTIONS["pair_mean_delay"].on_lines(lines)
+
+
 def _shared(name: str) -> Query:
     """An answer from the tally all four summing questions share, written once and read back."""
 
@@ -245,7 +300,8 @@ def _shared(name: str) -> Query:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    return _batch("origin_top10_destinations")(spark, "/root/testdata/sf0.001")
+    sf_dir = spark.conf.get("spark.tarmac.sf_dir", "/root/testdata/sf0.001")
+    return _batch("origin_top10_destinations")(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
@@ -271,6 +327,13 @@ def queries() -> dict[str, Query]:
         "two_leg_trips": trips,
         "backfill_all": backfill_all,
         "backfill_glob": backfill_glob,
+        "backfill_on_all": backfill_on_all,
+        "backfill_by_name": backfill_by_name,
+        "stream_damaged_pair_mean_delay": stream_damaged_mean,
+        "stream_damaged_pair_mean_delay_rejects": stream_damaged_mean_rejects,
+        "typed_nulls_pair_mean_delay": _with_nulls("pair_mean_delay"),
+        "typed_nulls_best_flight": _with_nulls("best_flight"),
+        "republished_best_flight": republished_best_flight,
         **LLM_QUERIES,
     }
 
@@ -350,12 +413,12 @@ SELECT origin, destination,
 FROM flights WHERE {{where}} GROUP BY origin, destination
 """
 
-BEST_FLIGHT_SQL = f"""
+BEST_FLIGHT_FROM = f"""
 WITH {FLIGHTS_SQL},
 named AS (
   SELECT *, CASE WHEN CAST(dep_time AS INTEGER) < 1200 THEN 'AM' ELSE 'PM' END AS period,
     carrier || ' ' || flight_num AS flight
-  FROM flights),
+  FROM flights WHERE {{where}}),
 best AS (
   SELECT * FROM named QUALIFY row_number() OVER (
     PARTITION BY flight_date, period, origin, destination
@@ -366,6 +429,8 @@ xyz AS (
   FROM best)
 """
 
+BEST_FLIGHT_SQL = BEST_FLIGHT_FROM.format(where="true")
+
 TRIPS_SQL = f"""
 {BEST_FLIGHT_SQL},
 wishes AS (
@@ -456,7 +521,10 @@ def oracle_sql() -> dict[str, str]:
           WHEN arr_delay IS NULL THEN 'unreadable arr_delay'
           ELSE 'missing arr_delayed' END AS reason
         FROM typed WHERE n_fields < 12 OR flight_date IS NULL OR arr_delay IS NULL"""
-    forms = [n for n in queries() if n.startswith(("lines_", "stream_", "resumed_", "merged_", "shared_"))]
+    damaged = f"""{LINES_SQL}
+        SELECT {{}} FROM typed WHERE {{}}(n_fields >= 6 AND arr_delay IS NOT NULL)"""
+    prefixes = ("lines_", "stream_", "resumed_", "merged_", "shared_", "republished_")
+    forms = [n for n in queries() if n.startswith(prefixes) and "damaged" not in n]
     forms.remove("stream_rejects")
     return {
         **answers,
@@ -483,5 +551,16 @@ def oracle_sql() -> dict[str, str]:
         "two_leg_trips": TRIPS_SQL,
         "backfill_all": AIRPORT_TOP10_SQL,
         "backfill_glob": MEAN_SQL.format(where="flight_date < DATE '2008-02-01'"),
+        "backfill_on_all": answers["pair_mean_delay"],
+        "backfill_by_name": MEAN_SQL.format(where="flight_date >= DATE '2008-02-01' AND flight_date < DATE '2008-03-01'"),
+        "stream_damaged_pair_mean_delay": damaged.format(
+            "origin, destination, CAST(CAST(sum(arr_delay) AS FLOAT) / CAST(count(*) AS FLOAT) AS FLOAT) AS mean_delay", ""
+        )
+        + " GROUP BY origin, destination",
+        "stream_damaged_pair_mean_delay_rejects": damaged.format(
+            "value, CASE WHEN n_fields < 6 THEN 'missing origin' ELSE 'unreadable arr_delay' END AS reason", "NOT "
+        ),
+        "typed_nulls_pair_mean_delay": MEAN_SQL.format(where="tax <> 0.05"),
+        "typed_nulls_best_flight": BEST_FLIGHT_FROM.format(where="tax NOT IN (0.05, 0.06)") + " SELECT * FROM xyz",
         **LLM_SQL,
     }

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tarmac.plans.questions import QUESTIONS
+from tarmac.schema import AIRPORT_COUNTS, BEST_FLIGHT
 from tarmac.sinks.external import write_cassandra
+from tarmac.sinks.files import merge_changes
 from tarmac.sources import kafka_lines, text_lines
 from tarmac.sources.kafka import ON_TIME_TOPIC
 from tarmac.streaming import (
     BACKFILL,
+    Job,
     RunPaths,
     fresh_run,
     shared_folder,
@@ -24,16 +27,19 @@ from tarmac.streaming import (
 )
 
 
-SHARED = "shared"
-LIVE_FILES = 8
+SHARED, MERGE = "shared", "merge"
+# A live job's first batch would else be all there is. A backfill has no bound of its own.
+LIVE_OFFSETS, LIVE_BYTES = 10_000_000, 4 * 2**30
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="run_job.py", description="Keep one question answered.")
     p.add_argument(
-        "question", choices=[*QUESTIONS, SHARED], help=f"{SHARED}: the four summing questions in one pass"
+        "question",
+        choices=[*QUESTIONS, SHARED, MERGE],
+        help=f"{SHARED}: the four summing questions in one pass; {MERGE}: fold the change tables of --run",
     )
-    source = p.add_mutually_exclusive_group(required=True)
+    source = p.add_mutually_exclusive_group()
     source.add_argument("--kafka", metavar="SERVERS", help="brokers holding the question's topic")
     source.add_argument("--files", metavar="PATH", help="folder or pattern of record files")
     p.add_argument("--name-glob", help="with --files: keep files by name")
@@ -43,7 +49,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--run", help="root of the run's tables and checkpoints; give it again to resume")
     p.add_argument("--seconds", type=int, default=10, help="time between batches")
     p.add_argument("--backfill", action="store_true", help="read what is there, then end")
-    p.add_argument("--per-batch", type=int, help="most offsets (Kafka) or files of a batch")
+    p.add_argument(
+        "--per-batch",
+        type=int,
+        help=f"most offsets (Kafka) or files of a batch; live: {LIVE_OFFSETS} offsets, or files of {LIVE_BYTES} bytes",
+    )
     p.add_argument("--strict", action="store_true", help="fail on a bad line")
     p.add_argument("--idle-minutes", type=float, help="airport_top10: forget idle airports")
     p.add_argument("--state-partitions", type=int)
@@ -51,16 +61,22 @@ def parser() -> argparse.ArgumentParser:
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    bound = "maxOffsetsPerTrigger" if args.kafka else "maxFilesPerTrigger"
-    options = {} if args.per_batch is None else {bound: args.per_batch}
+    if args.per_batch is not None:
+        options = {"maxOffsetsPerTrigger" if args.kafka else "maxFilesPerTrigger": args.per_batch}
+    elif args.backfill:
+        options = {}
+    else:
+        options = {"maxOffsetsPerTrigger": LIVE_OFFSETS} if args.kafka else {"maxBytesPerTrigger": LIVE_BYTES}
     if args.kafka:
         own = ON_TIME_TOPIC if args.question == SHARED else QUESTIONS[args.question].topic
         return kafka_lines(spark, args.kafka, args.topic or own, **options)
     return text_lines(spark, args.files, name_glob=args.name_glob, stream=True, **options)
 
 
-def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery, RunPaths]:
+def start(spark: SparkSession, args: argparse.Namespace) -> tuple[Job | StreamingQuery, RunPaths]:
     """Start the job the arguments ask for."""
+    if not (args.kafka or args.files):
+        raise SystemExit("one of --kafka and --files is needed")
     paths = RunPaths(args.run) if args.run else fresh_run(shared_folder(spark))
     lines = _lines(spark, args)
     common = {
@@ -82,7 +98,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery
     root = paths.table(question.table.name)
     checkpoint = paths.checkpoint(question.name)
     if args.sink == "console":
-        return start_console(question, lines, checkpoint, **common), paths
+        return start_console(question, lines, root, checkpoint, **common), paths
     sink = None
     if args.sink == "cassandra":
         if not args.keyspace:
@@ -91,14 +107,28 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery
         def sink(batch: DataFrame, batch_id: int) -> None:
             write_cassandra(question.answer(batch), args.keyspace, question.table)
 
-    # A live batch is small; the rows of a backfill stay in the partitions they come in.
-    files = None if args.backfill else question.table.files or LIVE_FILES
-    return start_question(question, lines, root, checkpoint, files=files, sink=sink, **common), paths
+    return start_question(question, lines, root, checkpoint, sink=sink, **common), paths
+
+
+def merge(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Fold the change tables of a run; readers and streams may go on meanwhile."""
+    if not args.run:
+        raise SystemExit("merge needs --run")
+    paths = RunPaths(args.run)
+    for table in (BEST_FLIGHT, AIRPORT_COUNTS):
+        merge_changes(spark, paths.table(table.name), table)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     builder = SparkSession.builder.appName(args.question).config("spark.sql.session.timeZone", "UTC")
-    query, paths = start(builder.getOrCreate(), args)
-    print(f"{args.question}: tables and checkpoints under {paths.root}")
-    query.awaitTermination()
+    spark = builder.getOrCreate()
+    if args.question == MERGE:
+        return merge(spark, args)
+    job, paths = start(spark, args)
+    print(f"{args.question}: tables, bad lines and checkpoints under {paths.root}")
+    if args.backfill:
+        job.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()  # a live job ends if either of its queries does
+        job.stop()

@@ -118,7 +118,7 @@ def _decoded(codes: DataFrame) -> DataFrame:
     return codes.selectExpr(
         *TRIP,
         f"CAST(if(unusual IS NULL, code DIV {delay} + {DELAY_LOW}, code) AS INT) AS arr_delay",
-        f"""coalesce(unusual.dep_time, lpad(CAST(code DIV {time} % {TIMES} AS STRING), 4, '0'))
+        f"""if(unusual IS NULL, lpad(CAST(code DIV {time} % {TIMES} AS STRING), 4, '0'), unusual.dep_time)
             AS dep_time""",
         f"if(unusual IS NULL, {flight}, unusual.flight) AS flight",
     )

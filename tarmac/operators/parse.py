@@ -68,6 +68,15 @@ def parse_on_time(
     return _fields(lines).filter(good).select(*[_typed(c).alias(c) for c in columns])
 
 
+def readable(flights: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Typed flights that have all the columns, by the rule that ``parse_on_time`` has for lines."""
+    tests = [
+        F.col(c).try_cast("int").isNotNull() if c == "dep_time" else F.col(c).isNotNull()
+        for c in columns
+    ]
+    return flights.filter(reduce(Column.__and__, tests))
+
+
 def rejects(lines: DataFrame, columns: Sequence[str] = FIELDS) -> DataFrame:
     """Lines that ``parse_on_time`` leaves out, with the first field at fault."""
     reason = F.coalesce(

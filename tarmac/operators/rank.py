@@ -19,6 +19,11 @@ def first_k(df: DataFrame, order: Sequence[str | Column], k: int = 10) -> DataFr
     return df.orderBy(*order).limit(k).select("*", rank)
 
 
+def ranked(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """All rows with their ``rank``. One task numbers them, so the rows must be few."""
+    return df.select("*", F.row_number().over(W.orderBy(*order)).alias("rank"))
+
+
 def top_k_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[str | Column], k: int = 10
 ) -> DataFrame:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tarmac import schema
 from tarmac.functions import mean32, pct32, pct32_int
 from tarmac.operators.aggregate import airport_counts, best_flight, delay_tally
-from tarmac.operators.parse import airport_tokens, parse_on_time
-from tarmac.operators.rank import first_k, top_k_per_group
+from tarmac.operators.parse import airport_tokens, parse_on_time, readable
+from tarmac.operators.rank import first_k, ranked, top_k_per_group
 from tarmac.sources.kafka import ON_TIME_TOPIC, ORIGIN_DESTINATION_TOPIC
 
 Step = Callable[[DataFrame], DataFrame]
@@ -32,7 +32,6 @@ class Question:
     answer: Step
     table: schema.Table
     output_mode: str = "complete"
-    state_partitions: int | None = None  # enough for the keys there can be; none if they keep coming
 
     def records(self, lines: DataFrame, mode: str = "permissive") -> DataFrame:
         """What the tally reads, from text lines."""
@@ -41,12 +40,16 @@ class Question:
         return parse_on_time(lines, self.columns, mode)
 
     def on_records(self, records: DataFrame) -> DataFrame:
-        """The answer from airport tokens or typed flights (a table, not a stream)."""
-        return self.answer(self.tally(records))
+        """The answer from airport tokens or typed flights (a table, not a stream).
+
+        A row that lacks a field the question reads is no record, as with lines.
+        """
+        whole = readable(records, self.columns) if self.columns else records.filter("airport <> ''")
+        return self.answer(self.tally(whole))
 
     def on_lines(self, lines: DataFrame, mode: str = "permissive") -> DataFrame:
         """The answer from text lines (a table, not a stream)."""
-        return self.on_records(self.records(lines, mode))
+        return self.answer(self.tally(self.records(lines, mode)))
 
 
 def _airports(counts: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def _airports(counts: DataFrame) -> DataFrame:
 
 def _weekdays(tally: DataFrame) -> DataFrame:
     percent = tally.select("weekday", pct32(F.col("total"), F.col("n")).alias("pct_delayed"))
-    return first_k(percent, ["pct_delayed", "weekday"])
+    return ranked(percent, ["pct_delayed", "weekday"])
 
 
 def _delayed_percent(tally: DataFrame, *keys: str) -> DataFrame:
@@ -101,7 +104,6 @@ def _delay_question(
     measure: str,
     answer: Step,
     table: schema.Table,
-    state_partitions: int = 64,
 ) -> Question:
     return Question(
         name,
@@ -110,7 +112,6 @@ def _delay_question(
         _tally(keys, measure),
         answer,
         table,
-        state_partitions=state_partitions,
     )
 
 
@@ -126,9 +127,8 @@ QUESTIONS = {
             airport_counts,
             _airports,
             schema.AIRPORT_TOP10,
-            state_partitions=16,
         ),
-        _delay_question("weekday_rank", ("weekday",), "arr_delayed", _weekdays, schema.WEEKDAY_RANK, 4),
+        _delay_question("weekday_rank", ("weekday",), "arr_delayed", _weekdays, schema.WEEKDAY_RANK),
         _delay_question(
             "origin_top10_destinations", PAIR, "dep_delayed", _destinations, schema.TOP10_DESTINATIONS
         ),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.operators.parse import readable
 from tarmac.plans.questions import QUESTIONS
 from tarmac.schema import Table
 
@@ -22,7 +23,6 @@ SHARED_TALLY = Table(
     " dep_delayed BIGINT, arr_delay BIGINT, arr_delayed BIGINT, n BIGINT",
     SHARED_KEYS,
     ("origin", "destination"),
-    8,
 )
 SHARED_QUESTIONS = (
     "weekday_rank",
@@ -37,7 +37,8 @@ def shared_columns() -> tuple[str, ...]:
 
 
 def shared_tally(flights: DataFrame) -> DataFrame:
-    return flights.groupBy(*SHARED_KEYS).agg(
+    """Sums and counts of the flights that have all shared columns, as ``parse_on_time`` leaves them."""
+    return readable(flights, shared_columns()).groupBy(*SHARED_KEYS).agg(
         *[F.sum(m).alias(m) for m in MEASURES], F.count(F.lit(1)).alias("n")
     )
 

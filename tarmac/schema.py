@@ -27,10 +27,8 @@ ON_TIME = T.StructType(
 
 @dataclass(frozen=True)
 class Table:
-    """A serving table: its columns, primary key and how its rows are spread over files.
+    """A serving table: its columns, primary key and what its rows are spread over files by.
 
-    ``files`` is the number of files of a batch written whole; none leaves a
-    batch in the partitions it comes in, for a table that grows with the dates.
     ``tombstone`` names the flag of rows that stand for a dropped key.
     """
 
@@ -38,7 +36,6 @@ class Table:
     columns: str
     key: tuple[str, ...]
     spread_by: tuple[str, ...]
-    files: int | None = 1
     tombstone: str | None = None
 
     @property
@@ -50,6 +47,7 @@ class Table:
         return [c for c in self.schema.names if c not in self.key]
 
 
+# Names and keys of the serving tables (fixed values).
 AIRPORT_TOP10 = Table("airport_top10", "airport STRING, n BIGINT, rank INT", ("airport",), ("airport",))
 AIRPORT_COUNTS = Table(
     "airport_counts",
@@ -66,21 +64,18 @@ TOP10_DESTINATIONS = Table(
     "rank INT, origin STRING, destination STRING, percentage_delayed INT",
     ("origin", "rank"),
     ("origin",),
-    8,
 )
 TOP10_CARRIERS = Table(
     "xytop10carriers",
     "rank INT, origin STRING, destination STRING, carrier STRING, percentage_delayed INT",
     ("origin", "destination", "rank"),
     ("origin", "destination"),
-    8,
 )
 MEAN_DELAY = Table(
     "xymeandelay",
     "origin STRING, destination STRING, mean_delay FLOAT",
     ("origin", "destination"),
     ("origin", "destination"),
-    8,
 )
 BEST_FLIGHT = Table(
     "xyz",
@@ -88,7 +83,6 @@ BEST_FLIGHT = Table(
     " flight STRING, departure_time STRING, delay INT",
     ("departure_date", "period", "origin", "destination"),
     ("departure_date", "period", "origin", "destination"),
-    None,
 )
 
 TABLES = {

@@ -39,12 +39,44 @@ def _delete(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
 def _write(df: DataFrame, root: str, table: Table, batch_id: int) -> None:
-    """Spread the rows by the key and sort by it, so lookups skip row groups and pages."""
-    rows = df.select(*table.schema.names)
-    if table.files is not None:
-        rows = rows.repartition(table.files, *table.spread_by)
-    rows.sortWithinPartitions(*table.key).write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
+    """Spread the rows by the key and sort by it, so lookups skip row groups and pages.
+
+    Spark's adaptive execution joins small partitions, so the number of files goes by
+    the size of the batch; a hash of the key is given, as Spark would leave out a
+    shuffle by the key the state is kept by, and with it the joining. A stateful stream turns it off for its own plans; the
+    write of a batch is a plan of its own and has it on.
+    """
+    rows = df.select(*table.schema.names).repartition(F.xxhash64(*table.spread_by))
+    conf, path = df.sparkSession.conf, f"{root}/{BATCH}={batch_id}"
+    before = conf.get(ADAPTIVE)
+    conf.set(ADAPTIVE, "true")
+    try:
+        rows.sortWithinPartitions(*table.key).write.mode("overwrite").parquet(path)
+    finally:
+        conf.set(ADAPTIVE, before)
+
+
+def next_batch(spark: SparkSession, root: str) -> int:
+    """The number above all batches written and merged."""
+    return max([-1, *_whole(spark, root, BATCH), *_whole(spark, root, MERGED)]) + 1
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def rename_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move the files of the ``column=value`` folders of a written table into one folder, named by value and number."""
+    files, folder = _folder(spark, target)
+    files.mkdirs(folder)
+    for number, found in enumerate(files.globStatus(_folder(spark, f"{source}/*=*/part-*")[1]) or []):
+        value, suffix = found.getPath().getParent().getName().split("=")[1], found.getPath().getName().split(".", 1)[1]
+        files.rename(found.getPath(), _folder(spark, f"{target}/{prefix}_{value}_{number}.{suffix}")[1])
 
 
 def write_snapshot(df: DataFrame, root: str, table: Table, batch_id: int = 0, *, keep: int = 10) -> None:
@@ -81,9 +113,10 @@ def _changed(spark: SparkSession, root: str, table: Table, batches: list[int]) -
         return spark.read.schema(table.schema).parquet(f"{root}/{BATCH}={batches[0]}")
     schema = f"{table.columns}, {BATCH} INT"
     rows = spark.read.schema(schema).option("basePath", root).parquet(f"{root}/{BATCH}=*")
-    latest = F.max_by(F.struct(*table.values), BATCH).alias("latest")
     wanted = rows.filter(F.col(BATCH).between(batches[0], batches[-1]))
-    return wanted.groupBy(*table.key).agg(latest).select(*table.key, "latest.*").select(*names)
+    # A number is aggregated by hash; a struct of the values would sort all rows.
+    latest = wanted.groupBy(*table.key).agg(F.max(BATCH).alias(BATCH))
+    return wanted.join(latest, [*table.key, BATCH], "left_semi").select(*names)
 
 
 def _unmerged(spark: SparkSession, root: str) -> tuple[int, list[int]]:

@@ -2,7 +2,9 @@ from tarmac.streaming.idle import start_idle_counts
 from tarmac.streaming.jobs import (
     BACKFILL,
     LIVE,
+    Job,
     read_answer,
+    rejects_of,
     start_console,
     start_question,
     start_rejects,
@@ -13,9 +15,11 @@ from tarmac.streaming.paths import RunPaths, fresh_run, shared_folder
 __all__ = [
     "BACKFILL",
     "LIVE",
+    "Job",
     "RunPaths",
     "fresh_run",
     "read_answer",
+    "rejects_of",
     "shared_folder",
     "start_console",
     "start_idle_counts",

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tarmac.operators.parse import parse_on_time, rejects
+from tarmac.operators.parse import FIELDS, parse_on_time, rejects
 from tarmac.plans.questions import QUESTIONS, Question
 from tarmac.plans.shared import SHARED_TALLY, shared_answers, shared_columns, shared_tally
 from tarmac.sinks.files import read_changes, read_snapshot, write_changes, write_snapshot
@@ -19,16 +19,53 @@ from tarmac.streaming.state import state_settings
 LIVE: Mapping[str, Any] = {"processingTime": "10 seconds"}
 BACKFILL: Mapping[str, Any] = {"availableNow": True}
 
-SHARED_STATE_PARTITIONS = 64
-
 Sink = Callable[[DataFrame, int], None]
 
 
-def _file_sink(question: Question, root: str, files: int | None) -> Sink:
+@dataclass(frozen=True)
+class Job:
+    """The query that keeps an answer, and the one that writes the lines it cannot read, if any.
+
+    Structured Streaming has one output per query, so each reads the input for
+    itself. What is not named here is the first query's.
+    """
+
+    query: StreamingQuery
+    rejected: StreamingQuery | None = None
+
+    def __getattr__(self, name: str) -> Any:
+        return getattr(self.query, name)
+
+    def _both(self) -> list[StreamingQuery]:
+        return [q for q in (self.query, self.rejected) if q is not None]
+
+    def awaitTermination(self) -> None:  # noqa: N802  as a query has it
+        for query in self._both():
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in self._both():
+            query.stop()
+
+
+def rejects_of(root: str) -> str:
+    """Where the bad lines of a job lie that writes the table at ``root``."""
+    return f"{root}_rejects"
+
+
+def _file_sink(question: Question, root: str) -> Sink:
     """Complete answers go to a snapshot table, touched keys to a change table."""
     write = write_snapshot if question.output_mode == "complete" else write_changes
-    table = question.table if files is None else replace(question.table, files=files)
-    return lambda batch, batch_id: write(question.answer(batch), root, table, batch_id)
+    return lambda batch, batch_id: write(question.answer(batch), root, question.table, batch_id)
+
+
+def _started(
+    writer: Any, lines: DataFrame, columns: Sequence[str], root: str, checkpoint: str, trigger: Mapping[str, Any], mode: str
+) -> Job:
+    query = writer.start()
+    if mode == "strict" or not columns:
+        return Job(query)
+    return Job(query, start_rejects(lines, rejects_of(root), rejects_of(checkpoint), columns, trigger=trigger))
 
 
 def start_question(
@@ -40,26 +77,24 @@ def start_question(
     trigger: Mapping[str, Any] = LIVE,
     mode: str = "permissive",
     state_partitions: int | None = None,
-    files: int | None = None,
     sink: Sink | None = None,
-) -> StreamingQuery:
+) -> Job:
     """Keep a question's serving table under ``root`` up to date with a stream of lines.
 
-    A restart on the same checkpoint goes on where it stopped. ``files`` is the
-    number of files of a batch, if not the table's own; a live ``best_flight``
-    should have few, a backfill none given. ``sink`` replaces the file table; it
-    gets each batch's tally and batch number, and must do the same again if a
-    batch is replayed.
+    Lines that the question cannot read go to the Parquet folder ``rejects_of(root)``
+    with their reasons, unless the mode is strict. A restart on the same checkpoint
+    goes on where it stopped. ``sink`` replaces the file table; it gets each batch's
+    tally and batch number, and must do the same again if a batch is replayed.
     """
     tally = question.tally(question.records(lines, mode))
     writer = (
         tally.writeStream.outputMode(question.output_mode)
-        .foreachBatch(sink or _file_sink(question, root, files))
+        .foreachBatch(sink or _file_sink(question, root))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
-    with state_settings(lines.sparkSession, state_partitions, question.state_partitions):
-        return writer.start()
+    with state_settings(lines.sparkSession, state_partitions):
+        return _started(writer, lines, question.columns, root, checkpoint, trigger, mode)
 
 
 def start_shared(
@@ -69,11 +104,11 @@ def start_shared(
     trigger: Mapping[str, Any] = LIVE,
     mode: str = "permissive",
     state_partitions: int | None = None,
-) -> StreamingQuery:
+) -> Job:
     """Keep the tables of the four summing questions up to date, reading the lines once.
 
     Each batch writes the shared tally first and draws the answers from what was
-    written, so the batch itself runs once.
+    written, so the batch itself runs once. Bad lines lie next to the shared tally.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -91,29 +126,42 @@ def start_shared(
         .option("checkpointLocation", paths.checkpoint(SHARED_TALLY.name))
         .trigger(**trigger)
     )
-    with state_settings(lines.sparkSession, state_partitions, SHARED_STATE_PARTITIONS):
-        return writer.start()
+    root, checkpoint = paths.table(SHARED_TALLY.name), paths.checkpoint(SHARED_TALLY.name)
+    with state_settings(lines.sparkSession, state_partitions):
+        return _started(writer, lines, shared_columns(), root, checkpoint, trigger, mode)
+
+
+def first_ten(question: Question, answer: DataFrame) -> DataFrame:
+    """What the console shows of an answer: by rank if only the whole is ranked, else by key."""
+    key = question.table.key
+    ranked = "rank" in answer.columns and "rank" not in key
+    return answer.orderBy(*["rank"] * ranked, *key).limit(10)
 
 
 def start_console(
     question: Question,
     lines: DataFrame,
+    root: str,
     checkpoint: str,
     *,
     trigger: Mapping[str, Any] = LIVE,
     mode: str = "permissive",
     state_partitions: int | None = None,
-) -> StreamingQuery:
-    """Print the first ten rows of the answer after each batch."""
+) -> Job:
+    """Print the first ten rows of the answer after each batch.
+
+    The rows are ordered first, so that all state partitions run and are committed.
+    No table is written at ``root``; bad lines lie at ``rejects_of(root)``.
+    """
 
     def show(batch: DataFrame, batch_id: int) -> None:
         print(f"batch {batch_id}")
-        question.answer(batch).show(10, truncate=False)
+        first_ten(question, question.answer(batch)).show(10, truncate=False)
 
     return start_question(
         question,
         lines,
-        "",
+        root,
         checkpoint,
         trigger=trigger,
         mode=mode,
@@ -123,10 +171,18 @@ def start_console(
 
 
 def start_rejects(
-    lines: DataFrame, path: str, checkpoint: str, *, trigger: Mapping[str, Any] = LIVE
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    columns: Sequence[str] = FIELDS,
+    *,
+    trigger: Mapping[str, Any] = LIVE,
 ) -> StreamingQuery:
-    """Append bad ``on-time`` lines and their reasons to a Parquet folder."""
-    writer = rejects(lines).writeStream.format("parquet").outputMode("append")
+    """Append ``on-time`` lines on which one of the columns is bad, and the reasons, to a Parquet folder.
+
+    Spark's file sink notes the files of each batch, so a replay adds no line twice.
+    """
+    writer = rejects(lines, columns).writeStream.format("parquet").outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(path)
 
 

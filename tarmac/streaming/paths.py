@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -22,17 +23,22 @@ class RunPaths:
         return f"{self.root}/checkpoints/{name}"
 
 
+@functools.lru_cache(maxsize=8)
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tarmac-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names, reached by all executors.
 
-    Only a local session may do without it; it gets a new temporary folder.
+    Only a local session may do without it; it gets one temporary folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-    return tempfile.mkdtemp(prefix="tarmac-")
+    return _own_folder(spark.sparkContext.applicationId)
 
 
 def fresh_run(root: str) -> RunPaths:

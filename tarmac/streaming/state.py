@@ -18,19 +18,15 @@ STATE_SETTINGS = {
 
 
 @contextmanager
-def state_settings(
-    spark: SparkSession, partitions: int | None = None, at_most: int | None = None
-) -> Iterator[None]:
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Set them, then restore the session's own.
 
-    The state gets the given number of partitions; by default the session's
-    number of shuffle partitions, but not more than ``at_most``, as every
-    partition writes files in every batch. A query takes its settings when it
-    starts, and the number of partitions stays with its checkpoint.
+    The state gets the given number of partitions, by default the session's
+    number of shuffle partitions. Every partition writes files in every batch, so
+    a live job with few keys may ask for fewer. A query takes its settings when
+    it starts, and the number of partitions stays with its checkpoint.
     """
     wanted = dict(STATE_SETTINGS)
-    if partitions is None and at_most is not None:
-        partitions = min(int(spark.conf.get(PARTITIONS)), at_most)
     if partitions is not None:
         wanted[PARTITIONS] = str(partitions)
     before = {name: spark.conf.get(name, None) for name in wanted}

@@ -25,9 +25,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    """Those of the training-data operators need not have any."""
+    own = set(registered.queries()) - set(registered.LLM_QUERIES)
+    assert own <= set(registered.oracle_sql()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(registered.oracle_sql()))
 def test_query_equals_sql(spark, db, name):
     assert compare(spark, db, SF_DIR, name)

@@ -18,6 +18,7 @@ from tarmac.operators.aggregate import (
     delay_tally,
 )
 from tarmac.operators.rank import first_k, top_k_per_group
+from tarmac.plans import QUESTIONS
 from tarmac.plans import QUESTIONS, shared_answers, shared_tally
 
 DAY = datetime.date(2008, 1, 3)
@@ -174,3 +175,30 @@ def test_answer_has_the_table_columns_and_key(flights, name):
     answer = question.on_lines(lines)
     assert dict(answer.dtypes) == {f.name: f.dataType.simpleString() for f in question.table.schema}
     assert answer.select(*question.table.key).distinct().count() == answer.count()
+
+
+def test_all_weekdays_are_ranked(spark):
+    flights = [(f"day {i}", i % 2) for i in range(12)]
+    answer = QUESTIONS["weekday_rank"].on_records(spark.createDataFrame(flights, "weekday STRING, arr_delayed INT"))
+    assert sorted(r[0] for r in rows(answer, "rank")) == list(range(1, 13))
+
+
+NULLS = "flight_date DATE, origin STRING, destination STRING, carrier STRING, flight_num STRING, dep_time STRING, arr_delay INT"
+
+
+def test_typed_rows_without_a_field_are_no_records(spark):
+    day = datetime.date(2008, 1, 3)
+    flights = [
+        (day, "A", "B", "WN", "1", "0600", 10),
+        (day, "A", "B", "WN", "2", "0600", None),
+        (day, "A", "B", "WN", "3", None, 1),
+        (day, "A", "B", "WN", "4", "noon", 1),
+        (None, "A", "B", "WN", "5", "0600", 0),
+    ]
+    df = spark.createDataFrame(flights, NULLS)
+    best = QUESTIONS["best_flight"].on_records(df).collect()
+    assert [(r.flight, r.departure_time, r.delay) for r in best] == [("WN 1", "0600", 10)]
+    mean = QUESTIONS["pair_mean_delay"].on_records(df).first().mean_delay
+    assert mean == 3.0
+    tokens = spark.createDataFrame([("A",), (None,), ("",)], "airport STRING")
+    assert rows(QUESTIONS["airport_top10"].on_records(tokens), "airport", "n") == [("A", 1)]

@@ -6,11 +6,12 @@ import pyarrow as pa
 import pytest
 from conftest import rows
 
-from tarmac.cli import parser, start
-from tarmac.operators.parse import rejects
+from tarmac.cli import merge, parser, start
+from tarmac.operators.parse import parse_on_time, rejects
 from tarmac.plans import QUESTIONS
+from tarmac.plans.shared import SHARED_TALLY, shared_columns
 from tarmac.schema import AIRPORT_COUNTS
-from tarmac.sinks.files import read_changes
+from tarmac.sinks.files import read_changes, read_snapshot
 from tarmac.sources import text_lines
 from tarmac.sources.derived import damaged_lines, on_time_lines, origin_destination_lines
 from tarmac.streaming import (
@@ -18,6 +19,7 @@ from tarmac.streaming import (
     RunPaths,
     fresh_run,
     read_answer,
+    rejects_of,
     shared_folder,
     start_console,
     start_idle_counts,
@@ -25,8 +27,10 @@ from tarmac.streaming import (
     start_rejects,
     start_shared,
 )
+from tarmac.streaming.jobs import first_ten
 from tarmac.streaming.idle import _count_per_task, read_top_airports
 
+# The documented sample record.
 LINE = "2008-01-03 Thursday WN WN {num} HOU LIT 0600 1 1435 {delay}.00 1.00"
 
 
@@ -118,14 +122,14 @@ def test_failed_batch_is_replayed_without_doubling(spark, flights, four_files, t
     assert rows(read_answer(spark, question, root)) == rows(question.on_records(flights))
 
 
-def test_files_of_a_live_batch(spark, four_files, tmp_path):
-    root = tmp_path / "t"
+@pytest.mark.parametrize("name", ["best_flight", "pair_mean_delay"])
+def test_files_of_a_batch_go_by_its_size(spark, four_files, tmp_path, name):
+    root, question = tmp_path / "t", QUESTIONS[name]
     lines = text_lines(spark, four_files[True], stream=True)
-    question = QUESTIONS["best_flight"]
     start_question(
-        question, lines, str(root), str(tmp_path / "cp"), trigger=BACKFILL, files=2
+        question, lines, str(root), str(tmp_path / "cp"), trigger=BACKFILL, state_partitions=6
     ).awaitTermination()
-    assert len(list((root / "batch_id=0").glob("*.parquet"))) == 2
+    assert len(list((root / "batch_id=0").glob("*.parquet"))) == 1
 
 
 def test_stream_takes_files_by_name(spark, tmp_path):
@@ -137,11 +141,23 @@ def test_stream_takes_files_by_name(spark, tmp_path):
     assert [r.flight for r in read_answer(spark, question, root).collect()] == ["WN 2"]
 
 
-def test_console(spark, four_files, tmp_path, capfd):
-    lines = text_lines(spark, four_files[True], stream=True)
-    start_console(QUESTIONS["weekday_rank"], lines, str(tmp_path), trigger=BACKFILL).awaitTermination()
-    shown = capfd.readouterr().out
-    assert "batch 0" in shown and "Saturday" in shown and "pct_delayed" in shown
+@pytest.mark.parametrize("name", list(QUESTIONS))
+def test_console(spark, flights, four_files, tmp_path, capfd, name):
+    question = QUESTIONS[name]
+    lines = stream_of(spark, four_files[bool(question.columns)])
+    start_console(
+        question, lines, str(tmp_path / "t"), str(tmp_path / "cp"), trigger=BACKFILL, state_partitions=5
+    ).awaitTermination()
+    shown = capfd.readouterr().out.split("batch 3\n")[1].strip().splitlines()
+    answer = question.on_lines(lines_for(name, flights))
+    first_ten(question, answer).show(10, truncate=False)
+    expected = capfd.readouterr().out.strip().splitlines()
+    if question.output_mode == "complete":
+        assert shown == expected
+    else:  # the keys that the last batch touched
+        cells = [tuple(x.strip() for x in line.strip("|").split("|")) for line in shown[3:-1]]
+        assert len(cells) == 10 and set(cells) <= {tuple(map(str, r)) for r in answer.collect()}
+    assert not (tmp_path / "t").exists()
 
 
 def test_bad_lines_go_to_rejects_and_not_into_answers(spark, lineitem, tmp_path):
@@ -154,6 +170,37 @@ def test_bad_lines_go_to_rejects_and_not_into_answers(spark, lineitem, tmp_path)
     question, root = QUESTIONS["pair_mean_delay"], str(tmp_path / "table")
     start_question(question, lines, root, str(tmp_path / "cp2"), trigger=BACKFILL).awaitTermination()
     assert rows(read_answer(spark, question, root)) == rows(question.on_lines(damaged))
+    # Next to the table lie the lines that this question cannot read, and no others.
+    own = spark.read.parquet(rejects_of(root))
+    assert rows(own) == rows(rejects(damaged, question.columns))
+    assert own.count() < rejects(damaged).count()
+
+
+def test_strict_jobs_have_no_rejects(spark, four_files, tmp_path):
+    root = tmp_path / "t"
+    lines, question = stream_of(spark, four_files[True]), QUESTIONS["weekday_rank"]
+    job = start_question(question, lines, str(root), str(tmp_path / "cp"), trigger=BACKFILL, mode="strict")
+    job.awaitTermination()
+    assert job.rejected is None and not (tmp_path / "t_rejects").exists()
+
+
+@pytest.mark.parametrize("name", ["pair_mean_delay", "shared"])
+def test_command_line_loses_no_line(spark, lineitem, tmp_path, name):
+    damaged = damaged_lines(lineitem)
+    damaged.repartition(3).write.text(str(tmp_path / "in"))
+    arguments = [name, "--files", str(tmp_path / "in"), "--backfill", "--per-batch", "1", "--run", str(tmp_path / "run")]
+    job, run = start(spark, parser().parse_args(arguments))
+    job.awaitTermination()
+    if name == "shared":
+        columns, table = shared_columns(), "shared_tally"
+        accepted = read_snapshot(spark, run.table(table), SHARED_TALLY).groupBy().sum("n").first()[0]
+    else:
+        columns, table = QUESTIONS[name].columns, QUESTIONS[name].table.name
+        accepted = parse_on_time(damaged, columns).count()
+        assert rows(read_answer(spark, QUESTIONS[name], run.table(table))) == rows(QUESTIONS[name].on_lines(damaged))
+    bad = spark.read.parquet(rejects_of(run.table(table)))
+    assert rows(bad) == rows(rejects(damaged, columns))
+    assert accepted + bad.count() == lineitem.count()
 
 
 def test_strict_stream_fails_on_a_bad_line(spark, tmp_path):
@@ -236,6 +283,30 @@ def test_idle_counts_go_on_after_a_restart(spark, tmp_path):
         assert [(r.n, r["rank"]) for r in top.collect()] == [(expected, 1)]
 
 
+def test_live_batches_are_bounded(spark, flights, four_files, tmp_path, monkeypatch):
+    monkeypatch.setattr("tarmac.cli.LIVE_BYTES", 1000)
+    arguments = ["pair_mean_delay", "--files", four_files[True], "--seconds", "1", "--run", str(tmp_path)]
+    job, run = start(spark, parser().parse_args(arguments))
+    question = QUESTIONS["pair_mean_delay"]
+    try:
+        wait_for(lambda: job.lastProgress and job.lastProgress["batchId"] >= 3)
+        job.query.processAllAvailable()
+    finally:
+        job.stop()
+    assert rows(read_answer(spark, question, run.table(question.table.name))) == rows(question.on_records(flights))
+
+
+def test_command_line_merge(spark, flights, four_files, tmp_path):
+    arguments = ["best_flight", "--files", four_files[True], "--backfill", "--per-batch", "1", "--run", str(tmp_path)]
+    job, run = start(spark, parser().parse_args(arguments))
+    job.awaitTermination()
+    question = QUESTIONS["best_flight"]
+    merge(spark, parser().parse_args(["merge", "--run", str(tmp_path)]))
+    folders = {p.name for p in (tmp_path / "tables" / "xyz").iterdir()}
+    assert "merged_to=3" in folders
+    assert rows(read_answer(spark, question, run.table("xyz"))) == rows(question.on_records(flights))
+
+
 def test_command_line_job(spark, flights, four_files, tmp_path):
     def arguments(question, folder):
         return parser().parse_args(
@@ -278,7 +349,7 @@ def test_runs_share_nothing(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name, session, asked, given", [
-    ("weekday_rank", 8, None, 4), ("weekday_rank", 2, None, 2), ("weekday_rank", 8, 3, 3), ("best_flight", 5, None, 5),
+    ("weekday_rank", 8, None, 8), ("weekday_rank", 2, None, 2), ("weekday_rank", 8, 3, 3), ("best_flight", 5, None, 5),
 ])
 def test_state_partitions(spark, tmp_path, name, session, asked, given):
     put(tmp_path / "in", "a.txt", LINE.format(num=1, delay=1))

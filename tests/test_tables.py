@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 from pathlib import Path
 
+import pytest
 from conftest import rows
 
 from tarmac.plans import QUESTIONS, best_flight_on, two_leg_trips
@@ -16,7 +17,7 @@ from tarmac.sinks.files import (
     write_changes,
     write_snapshot,
 )
-from tarmac.streaming import fresh_run
+from tarmac.streaming import fresh_run, read_answer
 
 
 def means(spark, *values):
@@ -106,6 +107,37 @@ def test_key_filter_reaches_the_files(spark, tmp_path):
     assert found.first().delay == 9
 
 
+def test_publishing_again_is_seen(spark, flights, tmp_path):
+    run = fresh_run(str(tmp_path))
+    for name in ("pair_mean_delay", "best_flight"):
+        question, root = QUESTIONS[name], run.table(QUESTIONS[name].table.name)
+        publish(question, flights.filter("origin = 'BOS'"), run)
+        if name == "best_flight":
+            merge_changes(spark, root, question.table)
+        publish(question, flights, run)
+        assert rows(read_answer(spark, question, root)) == rows(question.on_records(flights))
+
+
+def test_publishing_into_the_table_of_a_stream_is_refused(spark, flights, tmp_path):
+    run = fresh_run(str(tmp_path))
+    Path(run.checkpoint("pair_mean_delay")).mkdir(parents=True)
+    with pytest.raises(ValueError, match="a stream writes"):
+        publish(QUESTIONS["pair_mean_delay"], flights, run)
+
+
+def test_views_of_a_missing_run_are_refused(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        register_views(spark, fresh_run(str(tmp_path)))
+
+
+def test_latest_rows_are_found_without_a_sort(spark, tmp_path):
+    root = str(tmp_path)
+    for batch_id in range(3):
+        write_changes(best(spark, BOS=batch_id), root, BEST_FLIGHT, batch_id)
+    plan = read_changes(spark, root, BEST_FLIGHT)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_lookups(spark, flights, tmp_path):
     run = fresh_run(str(tmp_path))
     for name in ("origin_top10_destinations", "pair_top10_carriers", "pair_mean_delay", "best_flight"):
