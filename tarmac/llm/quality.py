@@ -41,7 +41,7 @@ class Rules:
     #: Below these lengths a histogram says too little for a verdict.
     min_class_chars: int = 200
     min_common_words: int = 50
-    max_class_distance: float = 0.30
+    max_class_distance: float = 0.32
     max_word_distance: float = 0.55
     common_words: int = 16
     #: Common words are looked for among the short ones, so that the vocabulary counted stays small.
