@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tarmac.plans.questions import QUESTIONS
-from tarmac.schema import AIRPORT_COUNTS, BEST_FLIGHT
+from tarmac.schema import BEST_FLIGHT
 from tarmac.sinks.external import write_cassandra
 from tarmac.sinks.files import merge_changes
 from tarmac.sources import kafka_lines, text_lines
@@ -37,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument(
         "question",
         choices=[*QUESTIONS, SHARED, MERGE],
-        help=f"{SHARED}: the four summing questions in one pass; {MERGE}: fold the change tables of --run",
+        help=f"{SHARED}: the four summing questions in one pass; {MERGE}: fold the change table of --run",
     )
     source = p.add_mutually_exclusive_group()
     source.add_argument("--kafka", metavar="SERVERS", help="brokers holding the question's topic")
@@ -88,7 +88,8 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[Job | Streamin
             raise SystemExit("--idle-minutes goes with airport_top10 --sink files, without --backfill")
         idle_ms = int(args.idle_minutes * 60_000)
         root, checkpoint = paths.table("airport_counts"), paths.checkpoint("airport_counts")
-        return start_idle_counts(lines, root, checkpoint, idle_ms=idle_ms, **common), paths
+        query = start_idle_counts(lines, root, checkpoint, idle_ms=idle_ms, trigger=common["trigger"])
+        return query, paths
     common["mode"] = "strict" if args.strict else "permissive"
     if args.question == SHARED:
         if args.sink != "files":
@@ -111,12 +112,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[Job | Streamin
 
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Fold the change tables of a run; readers and streams may go on meanwhile."""
+    """Fold the change table of a run; readers and streams may go on meanwhile."""
     if not args.run:
         raise SystemExit("merge needs --run")
     paths = RunPaths(args.run)
-    for table in (BEST_FLIGHT, AIRPORT_COUNTS):
-        merge_changes(spark, paths.table(table.name), table)
+    merge_changes(spark, paths.table(BEST_FLIGHT.name), BEST_FLIGHT)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -27,16 +27,12 @@ ON_TIME = T.StructType(
 
 @dataclass(frozen=True)
 class Table:
-    """A serving table: its columns, primary key and what its rows are spread over files by.
-
-    ``tombstone`` names the flag of rows that stand for a dropped key.
-    """
+    """A serving table: its columns, primary key and what its rows are spread over files by."""
 
     name: str
     columns: str
     key: tuple[str, ...]
     spread_by: tuple[str, ...]
-    tombstone: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -50,11 +46,7 @@ class Table:
 # Names and keys of the serving tables (fixed values).
 AIRPORT_TOP10 = Table("airport_top10", "airport STRING, n BIGINT, rank INT", ("airport",), ("airport",))
 AIRPORT_COUNTS = Table(
-    "airport_counts",
-    "airport STRING, n BIGINT, expired BOOLEAN",
-    ("airport",),
-    ("airport",),
-    tombstone="expired",
+    "airport_counts", "airport STRING, n BIGINT, seen_ms BIGINT", ("airport",), ("airport",)
 )
 WEEKDAY_RANK = Table(
     "weekday_rank", "weekday STRING, pct_delayed FLOAT, rank INT", ("weekday",), ("weekday",)

@@ -90,8 +90,11 @@ def write_snapshot(df: DataFrame, root: str, table: Table, batch_id: int = 0, *,
             _delete(df.sparkSession, f"{root}/{BATCH}={old}")
 
 
-def read_snapshot(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    batches = _whole(spark, root, BATCH)
+def read_snapshot(
+    spark: SparkSession, root: str, table: Table, *, before: int | None = None
+) -> DataFrame:
+    """The highest whole batch, or the highest below ``before``."""
+    batches = [n for n in _whole(spark, root, BATCH) if before is None or n < before]
     if not batches:
         return spark.createDataFrame([], table.schema)
     return spark.read.schema(table.schema).parquet(f"{root}/{BATCH}={batches[-1]}")
@@ -130,16 +133,15 @@ def _current(spark: SparkSession, root: str, table: Table, base: int, batches: l
         return spark.createDataFrame([], table.schema)
     if not batches:
         return _merged(spark, root, table, base)
-    current = changed = _changed(spark, root, table, batches)
-    if base >= 0:
-        keys = changed.select(*table.key)
-        kept = _merged(spark, root, table, base).join(keys, list(table.key), "left_anti")
-        current = kept.select(*table.schema.names).union(changed)
-    return current if table.tombstone is None else current.filter(~F.col(table.tombstone))
+    changed = _changed(spark, root, table, batches)
+    if base < 0:
+        return changed
+    kept = _merged(spark, root, table, base).join(changed.select(*table.key), list(table.key), "left_anti")
+    return kept.select(*table.schema.names).union(changed)
 
 
 def read_changes(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """The current rows of a change table, dropped keys left out.
+    """The current rows of a change table.
 
     Merged rows are kept unless a later batch has their key. The later batches
     are few after a merge, so that test is a broadcast if Spark finds them small

@@ -1,72 +1,34 @@
 """Airport counts that forget an airport after a time without input.
 
-An airport not seen for ``idle_timeout`` is dropped and counts from 0 when it
-comes back. Counts go to a change table; a dropped airport leaves a tombstone,
-a row with ``expired`` set.
+Each batch is counted and merged with the counts before it, which carry the time an
+airport was last seen. An airport not seen for ``idle_ms`` is left out then, and by
+readers before that, so it counts from 0 when it comes back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import time
+from collections.abc import Callable, Mapping
 from typing import Any
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tarmac.operators.aggregate import airport_counts
 from tarmac.operators.parse import airport_tokens
 from tarmac.plans.questions import QUESTIONS
 from tarmac.schema import AIRPORT_COUNTS
-from tarmac.sinks.files import read_changes, write_changes
+from tarmac.sinks.files import read_snapshot, write_snapshot
 from tarmac.streaming.jobs import LIVE
-from tarmac.streaming.state import state_settings
 
 IDLE_MS = 60 * 60 * 1000
-HELD_ROWS = 100_000
 
+Clock = Callable[[], float]
 
-def _count_per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Combine equal tokens of a task, so a hot airport sends few rows to its state."""
 
-    def counted(*tables: pa.Table) -> pa.Table:
-        sums = pa.concat_tables(tables).group_by("airport").aggregate([("n", "sum")])
-        return sums.select(["airport", "n_sum"]).rename_columns(["airport", "n"])
-
-    held = None
-    for batch in batches:
-        ones = pa.table({"airport": batch.column(0), "n": pa.repeat(pa.scalar(1, pa.int64()), len(batch))})
-        held = counted(ones) if held is None else counted(held, counted(ones))
-        if len(held) > HELD_ROWS:
-            yield from held.to_batches()
-            held = None
-    if held is not None:
-        yield from held.to_batches()
-
-
-class IdleCount(StatefulProcessor):
-    def __init__(self, idle_ms: int) -> None:
-        self.idle_ms = idle_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.count = handle.getValueState("count", "n BIGINT")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        total = (self.count.get()[0] if self.count.exists() else 0) + sum(row.n for row in rows)
-        self.count.update((total,))
-        # Input comes before due timers in a batch: an old timer must not fire on it.
-        for due in list(self.handle.listTimers()):
-            self.handle.deleteTimer(due)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield Row(airport=key[0], n=total, expired=False)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.count.clear()
-        yield Row(airport=key[0], n=0, expired=True)
-
-    def close(self) -> None:
-        pass
+def _seen_since(counts: DataFrame, now: float, idle_ms: int) -> DataFrame:
+    return counts.filter(F.col("seen_ms") > int(now * 1000) - idle_ms)
 
 
 def start_idle_counts(
@@ -76,24 +38,29 @@ def start_idle_counts(
     *,
     idle_ms: int = IDLE_MS,
     trigger: Mapping[str, Any] = LIVE,
-    state_partitions: int | None = None,
+    clock: Clock = time.time,
 ) -> StreamingQuery:
-    """Keep the change table ``airport_counts`` under ``root`` up to date.
+    """Keep the snapshot table ``airport_counts`` under ``root`` up to date.
 
-    Processing-time timers keep the query busy, so it does not end by itself
-    under ``availableNow``; use a live trigger and ``stop()``, or ``once``.
+    A replayed batch is merged with the snapshot before it again, so it counts
+    once. ``clock`` gives the seconds at which a batch counts as seen.
     """
-    tokens = airport_tokens(lines).mapInArrow(_count_per_task, "airport STRING, n BIGINT")
-    with state_settings(lines.sparkSession, state_partitions):
-        counts = tokens.groupBy("airport").transformWithState(
-            IdleCount(idle_ms), AIRPORT_COUNTS.columns, "update", "processingTime"
-        )
-        writer = counts.writeStream.outputMode("update").foreachBatch(
-            lambda batch, batch_id: write_changes(batch, root, AIRPORT_COUNTS, batch_id)
-        )
-        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
-
-
-def read_top_airports(spark: SparkSession, root: str) -> DataFrame:
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        now = clock()
+        fresh = airport_counts(batch).withColumn("seen_ms", F.lit(int(now * 1000)))
+        known = read_snapshot(batch.sparkSession, root, AIRPORT_COUNTS, before=batch_id)
+        both = _seen_since(known, now, idle_ms).unionByName(fresh).groupBy("airport")
+        counts = both.agg(F.sum("n").alias("n"), F.max("seen_ms").alias("seen_ms"))
+        write_snapshot(counts, root, AIRPORT_COUNTS, batch_id)
+
+    writer = airport_tokens(lines).writeStream.foreachBatch(merge)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_top_airports(
+    spark: SparkSession, root: str, *, idle_ms: int = IDLE_MS, clock: Clock = time.time
+) -> DataFrame:
     """The ten busiest airports that are not idle."""
-    return QUESTIONS["airport_top10"].answer(read_changes(spark, root, AIRPORT_COUNTS))
+    counts = read_snapshot(spark, root, AIRPORT_COUNTS)
+    return QUESTIONS["airport_top10"].answer(_seen_since(counts, clock(), idle_ms))

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import time
 
-import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -10,8 +9,7 @@ from tarmac.cli import merge, parser, start
 from tarmac.operators.parse import parse_on_time, rejects
 from tarmac.plans import QUESTIONS
 from tarmac.plans.shared import SHARED_TALLY, shared_columns
-from tarmac.schema import AIRPORT_COUNTS
-from tarmac.sinks.files import read_changes, read_snapshot
+from tarmac.sinks.files import read_snapshot
 from tarmac.sources import text_lines
 from tarmac.sources.derived import damaged_lines, on_time_lines, origin_destination_lines
 from tarmac.streaming import (
@@ -28,7 +26,7 @@ from tarmac.streaming import (
     start_shared,
 )
 from tarmac.streaming.jobs import first_ten
-from tarmac.streaming.idle import _count_per_task, read_top_airports
+from tarmac.streaming.idle import read_top_airports
 
 # The documented sample record.
 LINE = "2008-01-03 Thursday WN WN {num} HOU LIT 0600 1 1435 {delay}.00 1.00"
@@ -223,64 +221,57 @@ def wait_for(check, seconds=60):
     raise AssertionError("did not happen in time")
 
 
-def test_tokens_are_combined_before_their_state():
-    batches = [pa.RecordBatch.from_pydict({"airport": ["A"] * 900 + [f"X{i}"] * 100}) for i in range(5)]
-    combined = pa.Table.from_batches(_count_per_task(iter(batches))).to_pylist()
-    assert sorted((r["airport"], r["n"]) for r in combined) == [("A", 4500)] + [(f"X{i}", 100) for i in range(5)]
-
-
-def test_held_tokens_are_bounded(monkeypatch):
-    monkeypatch.setattr("tarmac.streaming.idle.HELD_ROWS", 10)
-    batches = [pa.RecordBatch.from_pydict({"airport": [f"X{i}{j}" for j in range(8)]}) for i in range(5)]
-    out = list(_count_per_task(iter(batches)))
-    assert len(out) > 1 and sum(len(b) for b in out) == 40
-
-
-def test_idle_airport_is_dropped_and_restarts_from_zero(spark, tmp_path):
-    put(tmp_path / "in", "a.txt", "ATL BOS", "ATL  ORD ")
-    root = str(tmp_path / "table")
+def idle_job(spark, tmp_path, clock, **options):
     lines = text_lines(spark, str(tmp_path / "in"), stream=True)
-    query = start_idle_counts(
-        lines, root, str(tmp_path / "cp"), idle_ms=4000, trigger={"processingTime": "500 milliseconds"}
+    return start_idle_counts(
+        lines, str(tmp_path / "table"), str(tmp_path / "cp"), idle_ms=60_000, trigger=BACKFILL, clock=clock, **options
     )
 
-    def counts():
-        return dict(rows(read_top_airports(spark, root), "airport", "n"))
 
-    try:
-        wait_for(lambda: counts() == {"ATL": 2, "BOS": 1, "ORD": 1})
-        wait_for(lambda: counts() == {})
-        assert read_changes(spark, root, AIRPORT_COUNTS).count() == 0
-        assert spark.read.parquet(root).filter("expired").count() == 3
-        put(tmp_path / "in", "b.txt", "ATL JFK")
-        wait_for(lambda: counts() == {"ATL": 1, "JFK": 1})
-    finally:
-        query.stop()
+def top_airports(spark, tmp_path, clock):
+    return dict(rows(read_top_airports(spark, str(tmp_path / "table"), idle_ms=60_000, clock=clock), "airport", "n"))
+
 
+def test_idle_airport_is_dropped_and_restarts_from_zero(spark, tmp_path):
+    steps = [
+        (0, ("ATL BOS", "ATL  ORD "), {"ATL": 2, "BOS": 1, "ORD": 1}),
+        (40, ("ATL",), {"ATL": 3, "BOS": 1, "ORD": 1}),
+        (80, ("JFK",), {"ATL": 3, "JFK": 1}),
+        (110, ("BOS ATL ATL",), {"ATL": 2, "BOS": 1, "JFK": 1}),
+    ]
+    for i, (second, lines, expected) in enumerate(steps):
+        put(tmp_path / "in", f"{i}.txt", *lines)
+        idle_job(spark, tmp_path, lambda second=second: float(second)).awaitTermination()
+        assert top_airports(spark, tmp_path, lambda second=second: float(second)) == expected
+    # Without another batch, readers leave idle airports out.
+    assert top_airports(spark, tmp_path, lambda: 150.0) == {"ATL": 2, "BOS": 1}
+    assert top_airports(spark, tmp_path, lambda: 999.0) == {}
+
+
+def test_idle_counts_add_up_over_batches_and_replays(spark, flights, four_files, tmp_path, monkeypatch):
+    from tarmac.streaming import idle
+
+    write, failed = idle.write_snapshot, []
+
+    def fail_once(df, root, table, batch_id):
+        write(df, root, table, batch_id)
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after writing")
 
-def test_idle_counts_add_up_over_batches(spark, flights, four_files, tmp_path):
+    monkeypatch.setattr(idle, "write_snapshot", fail_once)
     root = str(tmp_path / "table")
-    query = start_idle_counts(
-        stream_of(spark, four_files[False]),
-        root,
-        str(tmp_path / "cp"),
-        trigger={"processingTime": "100 milliseconds"},
-    )
-    expected = rows(QUESTIONS["airport_top10"].on_lines(origin_destination_lines(flights)))
-    try:
-        wait_for(lambda: rows(read_top_airports(spark, root)) == expected)
-    finally:
-        query.stop()
 
+    def run():
+        lines = stream_of(spark, four_files[False])
+        start_idle_counts(lines, root, str(tmp_path / "cp"), trigger=BACKFILL).awaitTermination()
 
-def test_idle_counts_go_on_after_a_restart(spark, tmp_path):
-    root, checkpoint = str(tmp_path / "table"), str(tmp_path / "cp")
-    for name, expected in (("a.txt", 2), ("b.txt", 4)):
-        put(tmp_path / "in", name, "ATL BOS", "ATL ORD")
-        lines = text_lines(spark, str(tmp_path / "in"), stream=True)
-        start_idle_counts(lines, root, checkpoint, trigger={"once": True}).awaitTermination()
-        top = read_top_airports(spark, root).filter("airport = 'ATL'")
-        assert [(r.n, r["rank"]) for r in top.collect()] == [(expected, 1)]
+    with pytest.raises(Exception, match="lost after writing"):
+        run()
+    run()
+    assert failed == [2]
+    expected = rows(QUESTIONS["airport_top10"].on_lines(origin_destination_lines(flights)))
+    assert rows(read_top_airports(spark, root)) == expected
 
 
 def test_live_batches_are_bounded(spark, flights, four_files, tmp_path, monkeypatch):
