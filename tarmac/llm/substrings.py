@@ -9,7 +9,7 @@ matrix gives matching statistics, and ends with a match of ``WINDOW`` words that
 occurs twice are reported.
 
 Equal texts are one row with a count, and equal stretches of a shard are indexed once
-with a count. A shard key with more than ``HOT`` stretches, say of a line found in a
+with a count. A shard key with more than ``HOT`` windows, say of a line found in a
 third of all documents, is not given to one task: its windows are counted by their
 hashes, combined before the shuffle.
 
@@ -33,7 +33,7 @@ from tarmac.llm.common import byte_words, keep, keep_in_buckets
 from tarmac.llm.fmindex import FMIndex
 
 WINDOW, GRAM = 35, 10
-HOT = 5_000
+HOT = 50_000
 #: A shard's index is closed at the first key after so many words.
 SHARD_WORDS = 60_000
 
@@ -213,8 +213,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     texts = keep_in_buckets(texts, "text_id")
     runs = "key bigint, text_id bigint, first int, windows int"
     keys = keep(texts.select("text_id", "text").mapInArrow(_shard_keys, runs + ", again boolean"))
-    often = keys.groupBy("key").agg(F.count("*").alias("n"), F.bool_or("again").alias("again")).filter("n > 1 OR again")
-    often = keep(often.select("key", (F.col("n") > HOT).alias("hot")))
+    often = keys.groupBy("key").agg(F.count("*").alias("n"), F.sum("windows").alias("windows"), F.bool_or("again").alias("again"))
+    often = keep(often.filter("n > 1 OR again").select("key", (F.col("windows") > HOT).alias("hot")))
     shared = keys.join(often, "key").groupBy("text_id")
     shared = shared.agg(F.collect_list(F.struct("key", "first", "windows", "hot")).alias("runs"))
     cut = texts.join(shared, "text_id").select("text_id", "text", "runs")
