@@ -108,8 +108,8 @@ def learn_formats(docs: DataFrame) -> Formats:
         by_kind.setdefault(row["kind"], []).append(row["value"])
     word = hinted.select(F.explode(words_of(F.col("text"))).alias("word"))
     word = word.filter(F.col("word").rlike(_PLAIN))
-    plain = word.orderBy(F.xxhash64("word"), "word").limit(4 * SAMPLE_WORDS).distinct()
-    return learn(by_kind, [r["word"] for r in plain.orderBy("word").limit(SAMPLE_WORDS).collect()])
+    plain = word.distinct().orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS)
+    return learn(by_kind, [r["word"] for r in plain.collect()])
 
 
 def _listed(spans: list[tuple[int, str, int]]) -> str:
