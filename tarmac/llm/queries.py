@@ -161,4 +161,51 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_rep AS n_repeat_wo
 FROM base LEFT JOIN by_class c USING (r) LEFT JOIN by_word w USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_quality": OP9_SQL}
+_MARKS = r"^[ \t]*((?:>[ \t]?)+)"
+_LEVEL = rf"""CASE WHEN regexp_matches(x, '{quotes._ANNOUNCED}') THEN -1
+  ELSE length(regexp_replace(regexp_extract(x, '{_MARKS}', 1), '[^>]', '', 'g')) END"""
+_BODY = f"regexp_replace(x, '{_MARKS}', '')"
+
+OP1_SQL = rf"""
+WITH messages AS (
+  SELECT conv_id, turn, role, text, string_split_regex(coalesce(text, ''), '\r?\n') AS xs FROM conversations),
+lines AS (
+  SELECT conv_id, turn, {_LEVEL} AS level,
+    trim(regexp_replace(lower({_BODY}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS words
+  FROM (SELECT conv_id, turn, unnest(xs) AS x FROM messages WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
+long AS (SELECT * FROM lines WHERE len(string_split(words, ' ')) >= {quotes.LEAST_WORDS}),
+quoted AS (
+  SELECT conv_id, turn, words, min(level) AS level, count(*) AS n FROM long WHERE level > 0 GROUP BY ALL),
+said AS (SELECT DISTINCT conv_id, turn, words FROM long WHERE level = 0),
+found AS (
+  SELECT q.conv_id, q.turn, q.words, any_value(q.level) AS level, any_value(q.n) AS n, max(s.turn) AS before
+  FROM quoted q LEFT JOIN said s ON s.conv_id = q.conv_id AND s.words = q.words AND s.turn < q.turn
+  GROUP BY q.conv_id, q.turn, q.words),
+votes AS (
+  SELECT conv_id, turn, before, sum(n) AS n, max(level) AS level FROM found GROUP BY conv_id, turn, before),
+links AS (
+  SELECT conv_id, turn, max(struct_pack(n := n, before := before)) FILTER (before IS NOT NULL) AS most,
+    sum(n) AS n_quoted, coalesce(sum(n) FILTER (before IS NOT NULL), 0) AS n_linked, max(level) AS quote_depth
+  FROM votes GROUP BY conv_id, turn),
+turns AS (
+  SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS previous
+  FROM (SELECT DISTINCT conv_id, turn FROM messages WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
+replies AS (
+  SELECT t.*, coalesce(most.before, previous) AS reply_to, n_quoted, n_linked, quote_depth
+  FROM turns t LEFT JOIN links USING (conv_id, turn)),
+branches AS (
+  SELECT *, max(CASE WHEN reply_to IS NULL OR reply_to <> previous THEN turn END)
+    OVER (PARTITION BY conv_id ORDER BY turn) AS branch
+  FROM replies)
+SELECT m.conv_id, m.turn, m.role,
+  CASE WHEN m.text IS NOT NULL THEN regexp_replace(array_to_string(
+    [{_BODY} FOR x IN m.xs IF {_LEVEL} = 0], chr(10)), '^\s+|\s+$', '', 'g') END AS own_text,
+  b.reply_to, b.branch, o.reply_to AS branch_of,
+  CAST(CASE WHEN b.turn IS NOT NULL THEN coalesce(b.n_quoted, 0) END AS BIGINT) AS n_quoted,
+  CAST(CASE WHEN b.turn IS NOT NULL THEN coalesce(b.n_linked, 0) END AS BIGINT) AS n_linked,
+  CAST(CASE WHEN b.turn IS NOT NULL THEN coalesce(b.quote_depth, 0) END AS BIGINT) AS quote_depth
+FROM messages m LEFT JOIN branches b ON b.conv_id = m.conv_id AND b.turn = m.turn
+LEFT JOIN branches o ON o.conv_id = b.conv_id AND o.turn = b.branch
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quotations": OP1_SQL, "op9_quality": OP9_SQL}

@@ -78,3 +78,26 @@ def test_equals_brute_force(spark, monkeypatch):
             messages.append((c, t, "r", "\n".join([*quoted, *own])))
     got = {(c, t): r for c, t, r in rows(linked(spark, messages), "conv_id", "turn", "reply_to")}
     assert got == brute_force(messages)
+
+
+ODD = [
+    (3, None, "u", "x y z"),
+    (None, 1, "u", "> a b c"),
+    (1, 6, "u", None),
+    (1, 6, "u", "> > Hm hm hm\n"),
+    (4, 1, "q", "one two three\n> one two three"),
+    (4, 1, "q", "one two three"),
+    (4, 2, "q", "  > One, two three!\r\n>one two three\nok\n"),
+]
+
+
+def test_query_equals_sql(spark, tmp_path):
+    import duckdb
+
+    from check_oracle import compare
+
+    df = spark.createDataFrame(MESSAGES + ODD, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert compare(spark, db, str(tmp_path), "op1_quotations")
