@@ -1,12 +1,13 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark passages in training documents: n-gram seeds, then Smith-Waterman alignment.
 
 The test items are a stated query set. They are taken in blocks of at most
 ``BLOCK_ITEMS``, each sent to the executors, so what is broadcast has a bound and a
 larger benchmark only takes more passes. A first pass counts how often each 4-gram of
-the items occurs in all documents. Of every ``STRIDE`` consecutive 4-grams of an item
-the rarest becomes a seed, so any seven words left unchanged contain one, however
-often the passage was copied. A second pass finds the seeds in whole documents and
-aligns the item with the text around each: a match scores 2, another word or a gap -1.
+the items occurs in all documents. Every one that occurs is a
+seed, so any four words left unchanged contain one, however often the passage was
+copied; a copy without four unchanged words in a row is not found. A second pass finds
+the seeds in whole documents and aligns the item with the text around each, if enough
+of its words are there: a match scores 2, another word or a gap -1.
 
 ``score`` is the best alignment's share of an item's perfect score. Words are runs of
 letters and digits in lower case.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRAM, STRIDE = 4, 4
+GRAM = 4
 BLOCK_ITEMS = 20_000
 MATCH, MISS, GAP = 2, -1, -1
 
@@ -80,14 +81,11 @@ class Items:
         return at[hit], which[hit]
 
     def choose(self, counts: dict[int, int]) -> None:
-        """The rarest gram of each stretch of ``STRIDE`` becomes a seed."""
+        """Every gram that some document holds becomes a seed."""
         for item, places in enumerate(self.places):
-            chosen = set()
-            for k in range(max(1, len(places) - STRIDE + 1)):
-                stretch = range(k, min(k + STRIDE, len(places)))
-                chosen.add(min(stretch, key=lambda j: (counts.get(int(places[j]), 0), int(places[j]), j)))
-            for j in sorted(chosen):
-                self.seeds.setdefault(int(places[j]), []).append((item, j))
+            for j, gram in enumerate(places):
+                if counts.get(int(gram), 0):
+                    self.seeds.setdefault(int(gram), []).append((item, j))
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -111,18 +109,23 @@ def matches(items: Items, text: str | None, least: float) -> list[tuple[int, flo
     for at, which in zip(*items.found(numbers)):
         for item, place in items.seeds.get(int(which), ()):
             size = len(items.words[item])
-            slack = 5 + size // 4
-            lo = max(0, int(at) - place - slack)
-            hi = min(len(numbers), int(at) - place + size + slack)
-            own = stretches.setdefault(item, [])
-            if own and lo <= own[-1][1]:
-                own[-1][1] = max(own[-1][1], hi)
-            else:
-                own.append([lo, hi])
+            slack = int(MATCH * size * (1 - least) / -GAP)  # as many words inserted cost the score its share
+            stretches.setdefault(item, []).append(
+                [max(0, int(at) - place - slack), min(len(numbers), int(at) - place + size + slack)]
+            )
     out = []
     for item, own in stretches.items():
-        size = len(items.words[item])
-        scored = [(align(items.words[item], numbers[lo:hi]), lo) for lo, hi in own]
+        size, parts = len(items.words[item]), []
+        for lo, hi in sorted(own):
+            if parts and lo <= parts[-1][1]:
+                parts[-1][1] = max(parts[-1][1], hi)
+            else:
+                parts.append([lo, hi])
+        # No alignment scores more than the item's words that the stretch holds at all.
+        parts = [(lo, hi) for lo, hi in parts if np.isin(items.words[item], numbers[lo:hi]).sum() >= least * size]
+        if not parts:
+            continue
+        scored = [(align(items.words[item], numbers[lo:hi]), lo) for lo, hi in parts]
         (score, end), lo = max(scored, key=lambda x: (x[0][0], -x[1]))
         if score >= least * MATCH * size:
             out.append((items.ids[item], score / (MATCH * size), max(lo, lo + end - size), lo + end))

@@ -55,3 +55,24 @@ def test_planted_passages(spark, monkeypatch):
     assert clean == {k for k, _ in docs} - {k for k, _ in planted}
     monkeypatch.setattr(d, "BLOCK_ITEMS", 7)
     assert set(rows(d.contaminated(df, bench), "doc_id", "item_id")) == planted
+
+
+def test_edited_copies(spark):
+    """A copy with every fifth to seventh word changed, the only one of its item, is found with its score."""
+    rng = random.Random(8)
+    items, docs, expected = [], [], set()
+    for k in range(45):
+        item = words(rng, rng.randrange(15, 56))
+        copy = [f"new{k}" if i % (5 + k % 3) == 4 else w for i, w in enumerate(item)]
+        if k % 2:  # words put in as well
+            copy[9:9] = [f"in{k}x{i}" for i in range(len(item) // 3)]
+        copy = [*words(rng, rng.randrange(40)), *copy, *words(rng, rng.randrange(40))]
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join(copy)))
+        score = slow_align(item, copy) / (d.MATCH * len(item))
+        if score >= 0.5:
+            expected.add((k, k, score))
+    assert len(expected) > 20
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    bench = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    assert set(rows(d.contaminated(df, bench), "doc_id", "item_id", "score")) == expected
