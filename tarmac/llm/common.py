@@ -23,6 +23,11 @@ def byte_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it literally, dots and back-ticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def keep(df: DataFrame) -> DataFrame:
     """The table written to the shared folder and read back.
 

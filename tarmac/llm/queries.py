@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, html, language, licenses, minhash, packing, quality, quotes, secrets, substrings
+from tarmac.llm import codes, decontaminate, html, infill, interleave, language, licenses, minhash, packing, quality, quotes, secrets, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = interleave.places(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", *interleave.ADDED, "source")
+
+
+def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +93,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_sharding": op12_sharding,
+    "op13_infilling": op13_infilling,
     "pipeline": pipeline,
 }
 
@@ -208,4 +224,97 @@ FROM messages m LEFT JOIN branches b ON b.conv_id = m.conv_id AND b.turn = m.tur
 LEFT JOIN branches o ON o.conv_id = b.conv_id AND o.turn = b.branch
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quotations": OP1_SQL, "op9_quality": OP9_SQL}
+
+
+def _assigned(name: str, books: str) -> str:
+    """Distances of all parts to all entries, and the nearest entry of each part."""
+    return f"""
+{name}_far AS (
+  SELECT r, part, entry, sum((v - c) * (v - c))::BIGINT AS d
+  FROM parts JOIN {books} USING (part, pos) GROUP BY r, part, entry),
+{name} AS (SELECT * FROM {name}_far QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1)"""
+
+
+def _moved(name: str, assigned: str, books: str) -> str:
+    return f"""
+{name} AS (
+  SELECT part, entry, pos, coalesce(m, c) AS c FROM {books} LEFT JOIN (
+    SELECT part, entry, pos, CAST(floor(sum(v) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS m
+    FROM {assigned} JOIN parts USING (r, part) GROUP BY part, entry, pos) USING (part, entry, pos))"""
+
+
+OP11_SQL = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding AS e, len(embedding) // {codes.PARTS} AS width
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT r, (i - 1) // width AS part, (i - 1) % width AS pos, CAST(floor({codes.SCALE} * CAST(e[i] AS DOUBLE)) AS BIGINT) AS v
+  FROM (SELECT *, unnest(range(1, len(e) + 1)) AS i FROM kept)),
+seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {codes.ENTRIES}),
+b0 AS (SELECT part, entry, pos, v AS c FROM seeds JOIN parts USING (r)),
+{_assigned("a0", "b0")}, {_moved("b1", "a0", "b0")}, {_assigned("a1", "b1")}, {_moved("b2", "a1", "b1")}, {_assigned("a2", "b2")},
+coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b2) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+#: The checksum goes byte by byte, with its table made by rule.
+OP12_SQL = f"""
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT range, 0, range FROM range(256) UNION ALL
+  SELECT i, k + 1, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS crc FROM steps WHERE k = 8),
+bytes AS (
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) AS n_bytes, hex(encode(coalesce(text, ''))) AS h,
+    md5('{interleave.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce('=' || text, '')) AS digest,
+    coalesce('=' || source, '') AS s
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY s ORDER BY digest) - 1 AS rank, count(*) OVER (PARTITION BY s) AS n FROM bytes),
+placed AS (
+  SELECT *, count(*) OVER () AS total,
+    (CAST(rank AS DOUBLE) + CAST(('0x' || md5('{interleave.SEED}:' || s)[1:8]) AS BIGINT) / CAST(4294967296 AS DOUBLE))
+      / CAST(n AS DOUBLE) AS f
+  FROM ranked),
+cut AS (
+  SELECT *, row_number() OVER (ORDER BY f, s, digest) - 1 AS place, place * {interleave.SHARDS} // total AS shard FROM placed)
+SELECT doc_id, source, CAST(n_bytes + 1 AS BIGINT) AS size,
+  xor(list_reduce(list_prepend(4294967295, list_transform(range(n_bytes), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda a, b: xor(a >> 8, crc[xor(a & 255, b) + 1])), 4294967295) AS text_crc32,
+  '{interleave.LAW}' AS law, CAST(shard AS INTEGER) AS shard,
+  CAST(place - (shard * total + {interleave.SHARDS - 1}) // {interleave.SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut, crc
+"""
+
+OP13_SQL = rf"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('{infill.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+numbers AS (
+  SELECT *, len(units) AS n, [CAST('0x' || d[8 * i + 1 : 8 * i + 8] AS BIGINT) FOR i IN range(4)] AS h FROM cut),
+planned AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= {infill.PERCENT_CHANGED} THEN 'plain'
+      WHEN h[4] % 100 < {infill.PERCENT_SPM} THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1 : b], '') AS middle,
+    array_to_string(units[b + 1 :], '') AS suffix
+  FROM planned)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quotations": OP1_SQL,
+    "op9_quality": OP9_SQL,
+    "op11_vector_codes": OP11_SQL,
+    "op12_sharding": OP12_SQL,
+    "op13_infilling": OP13_SQL,
+}
