@@ -39,6 +39,15 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*kept: DataFrame) -> None:
+    """Delete tables that ``keep`` has written and that nothing reads any more."""
+    for df in kept:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            jvm = df.sparkSession.sparkContext._jvm
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep_in_buckets(df: DataFrame, column: str) -> DataFrame:
     """Like ``keep``, as a table in buckets of a column: joins by it need no shuffle of this side.
 

@@ -20,7 +20,7 @@ def test_stages(spark):
     before, after = kept[0]
     assert ids(after) == {r[0] for r in rows(quality.quality(before), "row.doc_id", "kept") if r[1]}
     before, after = kept[1]
-    assert ids(after) == {i for i, k in rows(minhash.near_duplicates(before), "doc_id", "kept") if k}
+    assert ids(after) == {i for i, k in rows(minhash.near_duplicates(before, minhash.PIPELINE_RULE), "doc_id", "kept") if k}
     before, after = kept[2]
     bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     assert ids(after) == ids(before) - ids(decontaminate.contaminated(before, bench))
