@@ -162,8 +162,8 @@ def stream_airport_top10_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
             text_lines(spark, incoming, stream=True),
             root,
             run.checkpoint("idle"),
-            trigger=BACKFILL,
-            clock=lambda: 3600.0 * hours,
+            trigger={"once": True},
+            now=F.lit(3_600_000 * hours),
         ).awaitTermination()
     return read_top_airports(spark, root, clock=lambda: 3600.0 * hours)
 
@@ -223,10 +223,10 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_tokens(origin_destination_lines(_flights(spark, sf_dir)))
 
 
-def _published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _published(spark: SparkSession, sf_dir: str, name: str, parts: bool = False) -> DataFrame:
     """A question's serving table, written from all flights and read back."""
     question = QUESTIONS[name]
-    return read_answer(spark, question, publish(question, _flights(spark, sf_dir), _run(spark)))
+    return read_answer(spark, question, publish(question, _flights(spark, sf_dir), _run(spark)), parts=parts)
 
 
 def lookup_origins_in(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,13 +251,13 @@ def lookup_pair_mean_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_best_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _published(spark, sf_dir, "best_flight")
-    return best_flight_on(table, "24/01/2008", "AM", "DFW", "STL")
+    table = _published(spark, sf_dir, "best_flight", parts=True)
+    return best_flight_on(table, "24/01/2008", "AM", "DFW", "STL").drop("month")
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = trip_requests(spark.read.parquet(f"{sf_dir}/orders.parquet"))
-    return two_leg_trips(_published(spark, sf_dir, "best_flight"), requests)
+    return two_leg_trips(_published(spark, sf_dir, "best_flight", parts=True), requests)
 
 
 def _bz2_files(lines: DataFrame, folder: str, *by: str) -> None:

@@ -88,7 +88,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[Job | Streamin
             raise SystemExit("--idle-minutes goes with airport_top10 --sink files, without --backfill")
         idle_ms = int(args.idle_minutes * 60_000)
         root, checkpoint = paths.table("airport_counts"), paths.checkpoint("airport_counts")
-        query = start_idle_counts(lines, root, checkpoint, idle_ms=idle_ms, trigger=common["trigger"])
+        query = start_idle_counts(lines, root, checkpoint, idle_ms=idle_ms, **common)
         return query, paths
     common["mode"] = "strict" if args.strict else "permissive"
     if args.question == SHARED:

@@ -27,12 +27,18 @@ ON_TIME = T.StructType(
 
 @dataclass(frozen=True)
 class Table:
-    """A serving table: its columns, primary key and what its rows are spread over files by."""
+    """A serving table: its columns, primary key and what its rows are spread over files by.
+
+    ``part`` names a further column that the folders go by, with its SQL over the key.
+    ``ended`` is true of rows that only say that a key is gone; a merge drops them.
+    """
 
     name: str
     columns: str
     key: tuple[str, ...]
     spread_by: tuple[str, ...]
+    part: tuple[str, str] | None = None
+    ended: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -46,7 +52,7 @@ class Table:
 # Names and keys of the serving tables (fixed values).
 AIRPORT_TOP10 = Table("airport_top10", "airport STRING, n BIGINT, rank INT", ("airport",), ("airport",))
 AIRPORT_COUNTS = Table(
-    "airport_counts", "airport STRING, n BIGINT, seen_ms BIGINT", ("airport",), ("airport",)
+    "airport_counts", "airport STRING, n BIGINT, seen_ms BIGINT", ("airport",), ("airport",), ended="n IS NULL"
 )
 WEEKDAY_RANK = Table(
     "weekday_rank", "weekday STRING, pct_delayed FLOAT, rank INT", ("weekday",), ("weekday",)
@@ -75,6 +81,7 @@ BEST_FLIGHT = Table(
     " flight STRING, departure_time STRING, delay INT",
     ("departure_date", "period", "origin", "destination"),
     ("departure_date", "period", "origin", "destination"),
+    ("month", "concat(substring(departure_date, 7), '-', substring(departure_date, 4, 2))"),
 )
 
 TABLES = {

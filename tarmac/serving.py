@@ -28,11 +28,11 @@ def register_views(spark: SparkSession, paths: RunPaths) -> None:
     """A temporary view per serving table, as it stands now.
 
     ``SELECT * FROM xymeandelay WHERE origin = 'LGA' AND destination = 'BOS'``
-    then works as is. Register again to see later batches. A run that does not
+    then works as is; ``xyz`` has its ``month`` too. Register again to see later batches. A run that does not
     exist raises; a table it has not written yet is empty.
     """
     if not exists(spark, paths.root):
         raise FileNotFoundError(paths.root)
     for question in QUESTIONS.values():
         name = question.table.name
-        read_answer(spark, question, paths.table(name)).createOrReplaceTempView(name)
+        read_answer(spark, question, paths.table(name), parts=True).createOrReplaceTempView(name)

@@ -6,7 +6,12 @@ whole, and readers go by that.
 
 Snapshot tables hold the whole answer in every batch: readers take the highest
 whole one. Change tables hold the keys touched by the batch: readers take the
-highest batch per key, which is an upsert by key.
+highest batch per key, which is an upsert by key. ``merge_changes`` folds batches into
+``<root>/merged_to=N``. A table with a part column (``xyz`` by month) has a folder per
+part below each of these: a merge writes anew only the parts that its batches touch, and
+readers take the newest folder of each part, so filters on it leave whole folders out.
+Nothing is replaced in place: a reader goes on with the folders it listed, and a merge
+that is cut off has changed nothing.
 """
 
 from __future__ import annotations
@@ -42,20 +47,38 @@ def _delete(spark: SparkSession, path: str) -> None:
 ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
+#: Files of a part in a batch at most, by a hash of the key.
+SPREAD = 8
+
+
+def _schema(table: Table, *more: str) -> str:
+    parts = [f"{table.part[0]} STRING"] if table.part else []
+    return ", ".join([table.columns, *parts, *more])
+
+
+def _columns(table: Table) -> list[str]:
+    return table.schema.names + ([table.part[0]] if table.part else [])
+
+
 def _write(df: DataFrame, root: str, table: Table, batch_id: int) -> None:
     """Spread the rows by the key and sort by it, so lookups skip row groups and pages.
 
     Spark's adaptive execution joins small partitions, so the number of files goes by
     the size of the batch; a hash of the key is given, as Spark would leave out a
-    shuffle by the key the state is kept by, and with it the joining. A stateful stream turns it off for its own plans; the
-    write of a batch is a plan of its own and has it on.
+    shuffle by the key the state is kept by, and with it the joining. A stateful stream
+    turns it off for its own plans; the write of a batch is a plan of its own and has it on.
     """
-    rows = df.select(*table.schema.names).repartition(F.xxhash64(*table.spread_by))
+    rows, spread, order = df.select(*table.schema.names), F.xxhash64(*table.spread_by), list(table.key)
+    if table.part:
+        part, sql = table.part
+        rows, order = rows.withColumn(part, F.expr(sql)), [part, *order]
+        spread = F.xxhash64(part, F.pmod(spread, F.lit(SPREAD)))
     conf, path = df.sparkSession.conf, f"{root}/{BATCH}={batch_id}"
     before = conf.get(ADAPTIVE)
     conf.set(ADAPTIVE, "true")
     try:
-        rows.sortWithinPartitions(*table.key).write.mode("overwrite").parquet(path)
+        writer = rows.repartition(spread).sortWithinPartitions(*order).write.mode("overwrite")
+        writer.partitionBy(*order[:1] if table.part else []).parquet(path)
     finally:
         conf.set(ADAPTIVE, before)
 
@@ -105,21 +128,41 @@ def write_changes(df: DataFrame, root: str, table: Table, batch_id: int = 0) ->
     _write(df, root, table, batch_id)
 
 
-def _merged(spark: SparkSession, root: str, table: Table, merged: int) -> DataFrame:
-    return spark.read.schema(table.schema).parquet(f"{root}/{MERGED}={merged}")
+def _parts(spark: SparkSession, root: str, table: Table) -> dict[str, list[str]]:
+    """The whole merged folders of each part, oldest first; of a table without parts, under one name."""
+    found: dict[str, list[str]] = {}
+    for merged in _whole(spark, root, MERGED):
+        folder = f"{root}/{MERGED}={merged}"
+        if not table.part:
+            found.setdefault("", []).append(folder)
+            continue
+        files, pattern = _folder(spark, f"{folder}/{table.part[0]}=*")
+        for status in files.globStatus(pattern) or []:
+            name = status.getPath().getName()
+            found.setdefault(name, []).append(f"{folder}/{name}")
+    return found
+
+
+def _merged(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """The newest merged folder of each part."""
+    newest = [folders[-1] for folders in _parts(spark, root, table).values()]
+    if not newest:
+        return spark.createDataFrame([], _schema(table))
+    rows = spark.read.schema(_schema(table, f"{MERGED} INT")).option("basePath", root).parquet(*newest)
+    return rows.select(*_columns(table))
 
 
 def _changed(spark: SparkSession, root: str, table: Table, batches: list[int]) -> DataFrame:
     """The latest row of every key in the batches, one after the other in number."""
-    names = table.schema.names
     if len(batches) == 1:
-        return spark.read.schema(table.schema).parquet(f"{root}/{BATCH}={batches[0]}")
-    schema = f"{table.columns}, {BATCH} INT"
+        return spark.read.schema(_schema(table)).parquet(f"{root}/{BATCH}={batches[0]}")
+    schema = _schema(table, f"{BATCH} INT")
     rows = spark.read.schema(schema).option("basePath", root).parquet(f"{root}/{BATCH}=*")
     wanted = rows.filter(F.col(BATCH).between(batches[0], batches[-1]))
     # A number is aggregated by hash; a struct of the values would sort all rows.
-    latest = wanted.groupBy(*table.key).agg(F.max(BATCH).alias(BATCH))
-    return wanted.join(latest, [*table.key, BATCH], "left_semi").select(*names)
+    key = [*table.key, *_columns(table)[len(table.schema.names) :]]
+    latest = wanted.groupBy(*key).agg(F.max(BATCH).alias(BATCH))
+    return wanted.join(latest, [*key, BATCH], "left_semi").select(*_columns(table))
 
 
 def _unmerged(spark: SparkSession, root: str) -> tuple[int, list[int]]:
@@ -128,45 +171,52 @@ def _unmerged(spark: SparkSession, root: str) -> tuple[int, list[int]]:
     return base, [n for n in _whole(spark, root, BATCH) if n > base]
 
 
-def _current(spark: SparkSession, root: str, table: Table, base: int, batches: list[int]) -> DataFrame:
-    if not batches and base < 0:
-        return spark.createDataFrame([], table.schema)
-    if not batches:
-        return _merged(spark, root, table, base)
-    changed = _changed(spark, root, table, batches)
-    if base < 0:
-        return changed
-    kept = _merged(spark, root, table, base).join(changed.select(*table.key), list(table.key), "left_anti")
-    return kept.select(*table.schema.names).union(changed)
+def _above(merged: DataFrame, changed: DataFrame, table: Table) -> DataFrame:
+    """Merged rows unless a change has their key, and the changes."""
+    key = [c for c in _columns(table) if c in table.key or c not in table.schema.names]
+    return merged.join(changed.select(*key), key, "left_anti").select(*_columns(table)).union(changed)
 
 
-def read_changes(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """The current rows of a change table.
+def read_changes(spark: SparkSession, root: str, table: Table, *, parts: bool = False) -> DataFrame:
+    """The current rows of a change table, next to their part column if asked for.
 
     Merged rows are kept unless a later batch has their key. The later batches
     are few after a merge, so that test is a broadcast if Spark finds them small
     enough, and the merged table is then read without a shuffle. Filters on the
-    key reach all scans.
+    key and the part reach all scans.
     """
-    return _current(spark, root, table, *_unmerged(spark, root))
+    base, batches = _unmerged(spark, root)
+    if not batches:
+        rows = _merged(spark, root, table)
+    else:
+        rows = _changed(spark, root, table, batches)
+        rows = rows if base < 0 else _above(_merged(spark, root, table), rows, table)
+    return rows if parts else rows.select(*table.schema.names)
 
 
-def merge_changes(spark: SparkSession, root: str, table: Table, *, keep: int = 1) -> None:
-    """Fold all whole batches into one table sorted by key, so reads stay cheap.
+def merge_changes(spark: SparkSession, root: str, table: Table) -> None:
+    """Fold all whole batches, so reads stay cheap; parts they do not touch stay as they are.
 
-    Run it as a job of its own, now and then. The folded batches are dropped at
-    the next run, when readers of the former state are done; ``keep`` merged
-    tables stay.
+    Run it as a job of its own, now and then. The folded batches and the parts written
+    anew are dropped at the next run, when readers of the former state are done.
     """
     base, batches = _unmerged(spark, root)
     if not batches:
         return
-    current = _current(spark, root, table, base, batches)
-    ordered = current.repartitionByRange(*table.key).sortWithinPartitions(*table.key)
-    folded, merged = _whole(spark, root, BATCH), _whole(spark, root, MERGED)
-    ordered.write.mode("overwrite").parquet(f"{root}/{MERGED}={batches[-1]}")
+    changed, before = _changed(spark, root, table, batches), _parts(spark, root, table)
+    merged, order = _merged(spark, root, table), list(table.key)
+    if table.part:
+        part = table.part[0]
+        touched = [r[0] for r in changed.select(part).distinct().collect()]
+        merged, order = merged.filter(F.col(part).isin(touched)), [part, *order]
+    current = changed if base < 0 else _above(merged, changed, table)
+    if table.ended:
+        current = current.filter(f"NOT ({table.ended})")
+    folded = [n for n in _whole(spark, root, BATCH) if n <= base]
+    writer = current.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+    writer.partitionBy(*order[:1] if table.part else []).parquet(f"{root}/{MERGED}={batches[-1]}")
     for old in folded:
-        if old <= base:
-            _delete(spark, f"{root}/{BATCH}={old}")
-    for old in merged[:-keep]:
-        _delete(spark, f"{root}/{MERGED}={old}")
+        _delete(spark, f"{root}/{BATCH}={old}")
+    for folders in before.values():
+        for old in folders[:-1]:
+            _delete(spark, old)

@@ -186,7 +186,8 @@ def start_rejects(
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(path)
 
 
-def read_answer(spark: SparkSession, question: Question, root: str) -> DataFrame:
-    """The question's serving table as it stands."""
-    read = read_snapshot if question.output_mode == "complete" else read_changes
-    return read(spark, root, question.table)
+def read_answer(spark: SparkSession, question: Question, root: str, *, parts: bool = False) -> DataFrame:
+    """The question's serving table as it stands, with its part column if asked for."""
+    if question.output_mode == "complete":
+        return read_snapshot(spark, root, question.table)
+    return read_changes(spark, root, question.table, parts=parts)

@@ -165,3 +165,62 @@ def test_two_leg_trips_equal_pairs_of_lookups(spark):
         ("16/05/2008", "LAX", "MIA", "BOS", "AA 280", "18/05/2008", "AA 457"),
         ("16/05/2008", "LAX", "MIA", "LAX", "AA 280", "18/05/2008", "AA 456"),
     ]
+
+
+def in_months(spark, *months):
+    rows_ = [(f"0{d}/{m}/2008", "AM", "BOS", "ATL", f"WN {d}", "0600", d) for m in months for d in (1, 2, 3)]
+    return spark.createDataFrame(rows_, BEST_FLIGHT.schema)
+
+
+def test_a_merge_writes_the_months_that_changed(spark, tmp_path):
+    root = str(tmp_path)
+    write_changes(in_months(spark, "01", "02", "03"), root, BEST_FLIGHT, 0)
+    merge_changes(spark, root, BEST_FLIGHT)
+    others = [p for m in ("01", "03") for p in (tmp_path / "merged_to=0" / f"month=2008-{m}").iterdir()]
+    write_changes(spark.createDataFrame([("02/02/2008", "AM", "BOS", "ATL", "WN 9", "0500", -5)], BEST_FLIGHT.schema), root, BEST_FLIGHT, 1)
+    merge_changes(spark, root, BEST_FLIGHT)
+    assert [p.name for p in (tmp_path / "merged_to=1").iterdir() if p.is_dir()] == ["month=2008-02"]
+    found = rows(read_changes(spark, root, BEST_FLIGHT, parts=True), "departure_date", "delay", "month")
+    assert len(found) == 9 and ("02/02/2008", -5, "2008-02") in found and ("01/02/2008", 1, "2008-02") in found
+    write_changes(in_months(spark, "04"), root, BEST_FLIGHT, 2)
+    merge_changes(spark, root, BEST_FLIGHT)
+    # The replaced month is dropped at the next merge, the others were never touched.
+    assert not (tmp_path / "merged_to=0" / "month=2008-02").exists() and all(p.exists() for p in others)
+    assert read_changes(spark, root, BEST_FLIGHT).count() == 12
+
+
+def test_ended_keys_leave_the_table_by_a_merge(spark, tmp_path):
+    from tarmac.schema import AIRPORT_COUNTS
+
+    root = str(tmp_path)
+    counts = lambda *rows_: spark.createDataFrame(list(rows_), AIRPORT_COUNTS.schema)
+    write_changes(counts(("ATL", 5, 10), ("BOS", 2, 10)), root, AIRPORT_COUNTS, 0)
+    write_changes(counts(("ATL", None, 10)), root, AIRPORT_COUNTS, 1)
+    merge_changes(spark, root, AIRPORT_COUNTS)
+    assert rows(read_changes(spark, root, AIRPORT_COUNTS), "airport", "n") == [("BOS", 2)]
+    write_changes(counts(("ATL", 1, 20)), root, AIRPORT_COUNTS, 2)
+    assert rows(read_changes(spark, root, AIRPORT_COUNTS), "airport", "n") == [("ATL", 1), ("BOS", 2)]
+
+
+@pytest.mark.parametrize("merged", [True, False])
+def test_trips_of_a_month_read_that_month_and_its_follower(spark, tmp_path, merged):
+    root = str(tmp_path)
+    for batch_id, months in enumerate((("01", "02"), ("03", "04", "05"))):
+        write_changes(in_months(spark, *months), root, BEST_FLIGHT, batch_id)
+    if merged:
+        merge_changes(spark, root, BEST_FLIGHT)
+    xyz = read_changes(spark, root, BEST_FLIGHT, parts=True)
+    wishes = [(datetime.date(2008, 2, day), "BOS", "ATL", "BOS") for day in (1, 2, 28)]
+    requests = spark.createDataFrame(wishes, "flight_date DATE, origin STRING, via STRING, destination STRING")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = two_leg_trips(xyz, requests)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pruned = [line for line in plan.splitlines() if "FileScan" in line and "dynamicpruning" in line.lower()]
+    assert len(pruned) >= 2, plan
+    if merged:  # months that are not asked for need not even be there
+        for gone in ("01", "04", "05"):
+            for file in (tmp_path / "merged_to=1" / f"month=2008-{gone}").iterdir():
+                file.unlink()
+    assert two_leg_trips(xyz, requests).count() == 0
+    lookup = best_flight_on(xyz, "03/03/2008", "AM", "BOS", "ATL")
+    assert [r.delay for r in lookup.collect()] == [3]
