@@ -7,6 +7,7 @@ Flights are derived from all of ``lineitem`` and trip requests from all of
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from tarmac.plans import (
 from tarmac.plans.shared import SHARED_QUESTIONS
 from tarmac.serving import publish, register_views
 from tarmac.sinks.files import merge_changes, rename_files
-from tarmac.sources import text_lines
+from tarmac.sources import airports_of, land, landed_lines, landed_rejects, start_landing, text_lines
 from tarmac.sources.derived import (
     AIRPORTS,
     CARRIERS,
@@ -39,19 +40,25 @@ from tarmac.streaming import (
     BACKFILL,
     fresh_run,
     read_answer,
+    read_maintained,
+    read_tally,
     rejects_of,
+    save_tally,
     shared_folder,
     start_idle_counts,
+    start_maintained,
     start_question,
     start_rejects,
     start_shared,
+    start_tally,
 )
 from tarmac.streaming.idle import read_top_airports
+from tarmac.streaming.tallies import GROUPS
 
-try:
+if find_spec("tarmac.llm") and find_spec("corpus_pipeline"):
     from tarmac.llm.queries import ORACLE_SQL as LLM_SQL
     from tarmac.llm.queries import QUERIES as LLM_QUERIES
-except ImportError:  # the library works without its training-data operators
+else:  # the library works without its training-data operators
     LLM_QUERIES, LLM_SQL = {}, {}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +226,102 @@ def republished_best_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_answer(spark, question, root)
 
 
+def stream_damaged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines a job over damaged lines has read, used and left out, as counted in its own read."""
+    question, run = QUESTIONS["pair_mean_delay"], _run(spark)
+    lines, root = damaged_lines(_lineitem(spark, sf_dir, stream=True)), run.table(question.table.name)
+    job = start_question(question, lines, root, run.checkpoint(question.name), trigger=BACKFILL, mode="counted")
+    job.awaitTermination()
+    counts = [(job.lines.read, job.lines.read - job.lines.bad, job.lines.bad)]
+    return spark.createDataFrame(counts, "n_read BIGINT, n_good BIGINT, n_bad BIGINT")
+
+
+def _state(name: str) -> Query:
+    """An answer drawn from the state of a stream that writes no table."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        question, run = QUESTIONS[name], _run(spark)
+        lines, checkpoint = _lines(_flights(spark, sf_dir, stream=True), name), run.checkpoint(name)
+        start_tally(question, lines, checkpoint, trigger=BACKFILL).awaitTermination()
+        return question.answer(read_tally(spark, question, checkpoint))
+
+    return query
+
+
+def _deliveries(spark: SparkSession, sf_dir: str, folder: str, name: str):
+    """The lines of a question in two parts, each written to the folder before it is yielded."""
+    for delivery in (F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3):
+        _lines(flights_of(_lineitem(spark, sf_dir).filter(delivery)), name).write.mode("append").text(folder)
+        yield
+
+
+def _maintained(name: str) -> Query:
+    """An answer of which each of two batches ranks and writes the groups it changed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        question, run = QUESTIONS[name], _run(spark)
+        incoming = f"{run.root}/incoming"
+        for _ in _deliveries(spark, sf_dir, incoming, name):
+            lines = text_lines(spark, incoming, stream=True)
+            start_maintained(question, lines, run, trigger=BACKFILL).awaitTermination()
+        return read_maintained(spark, question, run)
+
+    return query
+
+
+def _seeded(name: str) -> Query:
+    """A backfill of one part of the lines, and a stream over the other that starts from its tally."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        question, run, live = QUESTIONS[name], _run(spark), _run(spark)
+        lineitem, tally = _lineitem(spark, sf_dir), f"{run.root}/tally"
+        parts = [f"{run.root}/lines_{i}" for i in range(2)]
+        for path, part in zip(parts, (F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3)):
+            _lines(flights_of(lineitem.filter(part)), name).write.text(path)
+        backfill = text_lines(spark, parts[0], stream=True)
+        start_tally(question, backfill, run.checkpoint(name), trigger=BACKFILL).awaitTermination()
+        save_tally(spark, question, run.checkpoint(name), tally)
+        root, lines = live.table(question.table.name), text_lines(spark, parts[1], stream=True)
+        start_question(question, lines, root, live.checkpoint(name), trigger=BACKFILL, seed=tally).awaitTermination()
+        return read_answer(spark, question, root)
+
+    return query
+
+
+def _landed(spark: SparkSession, lines: DataFrame) -> str:
+    folder = _run(spark).table("landed")
+    land(lines, folder)
+    return folder
+
+
+def _from_landed(name: str, months: tuple[str, ...] | None = None) -> Query:
+    """An answer from lines that were parsed once into a typed table by month."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _landed(spark, on_time_lines(_flights(spark, sf_dir)))
+        flights = landed_lines(spark, folder, months)
+        return QUESTIONS[name].on_records(flights if QUESTIONS[name].columns else airports_of(flights))
+
+    return query
+
+
+def landed_damaged_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with other faults than the question's own count."""
+    folder = _landed(spark, damaged_lines(_lineitem(spark, sf_dir)))
+    return QUESTIONS["pair_mean_delay"].on_records(landed_lines(spark, folder))
+
+
+def landed_damaged_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed_rejects(spark, _landed(spark, damaged_lines(_lineitem(spark, sf_dir))))
+
+
+def stream_landed_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run(spark)
+    lines, folder = damaged_lines(_lineitem(spark, sf_dir, stream=True)), run.table("landed")
+    start_landing(lines, folder, run.checkpoint("landed"), trigger=BACKFILL).awaitTermination()
+    return QUESTIONS["pair_mean_delay"].on_records(landed_lines(spark, folder))
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_tokens(origin_destination_lines(_flights(spark, sf_dir)))
 
@@ -343,6 +446,15 @@ def queries() -> dict[str, Query]:
         "typed_nulls_pair_mean_delay": _with_nulls("pair_mean_delay"),
         "typed_nulls_best_flight": _with_nulls("best_flight"),
         "republished_best_flight": republished_best_flight,
+        "stream_damaged_counts": stream_damaged_counts,
+        **{f"state_{name}": _state(name) for name in ("airport_top10", "origin_top10_destinations", "best_flight")},
+        **{f"maintained_{name}": _maintained(name) for name in GROUPS},
+        **{f"seeded_{name}": _seeded(name) for name in ("airport_top10", "pair_mean_delay", "best_flight")},
+        **{f"landed_{name}": _from_landed(name) for name in QUESTIONS},
+        "landed_february": _from_landed("pair_mean_delay", ("2008-02",)),
+        "landed_damaged_pair_mean_delay": landed_damaged_mean,
+        "landed_damaged_rejects": landed_damaged_rejects,
+        "stream_landed_pair_mean_delay": stream_landed_mean,
         **LLM_QUERIES,
     }
 
@@ -536,9 +648,14 @@ def oracle_sql() -> dict[str, str]:
     damaged = f"""{LINES_SQL}
         SELECT {{}} FROM typed WHERE {{}}(n_fields >= 6 AND arr_delay IS NOT NULL)"""
     prefixes = ("lines_", "stream_", "resumed_", "merged_", "shared_", "republished_")
-    forms = [n for n in queries() if n.startswith(prefixes) and "damaged" not in n]
-    forms.remove("stream_rejects")
-    forms.remove("stream_airport_top10_idle")
+    prefixes += ("state_", "maintained_", "seeded_", "landed_")
+    forms = [n for n in queries() if n.startswith(prefixes) and n.endswith(tuple(QUESTIONS)) and "damaged" not in n]
+    forms.remove("stream_landed_pair_mean_delay")
+    february = MEAN_SQL.format(where="flight_date >= DATE '2008-02-01' AND flight_date < DATE '2008-03-01'")
+    damaged_mean = damaged.format(
+        "origin, destination, CAST(CAST(sum(arr_delay) AS FLOAT) / CAST(count(*) AS FLOAT) AS FLOAT) AS mean_delay", ""
+    )
+    damaged_mean += " GROUP BY origin, destination"
     return {
         **answers,
         **{name: answers[_question_of(name)] for name in forms},
@@ -566,11 +683,15 @@ def oracle_sql() -> dict[str, str]:
         "backfill_all": AIRPORT_TOP10_SQL,
         "backfill_glob": MEAN_SQL.format(where="flight_date < DATE '2008-02-01'"),
         "backfill_on_all": answers["pair_mean_delay"],
-        "backfill_by_name": MEAN_SQL.format(where="flight_date >= DATE '2008-02-01' AND flight_date < DATE '2008-03-01'"),
-        "stream_damaged_pair_mean_delay": damaged.format(
-            "origin, destination, CAST(CAST(sum(arr_delay) AS FLOAT) / CAST(count(*) AS FLOAT) AS FLOAT) AS mean_delay", ""
-        )
-        + " GROUP BY origin, destination",
+        "backfill_by_name": february,
+        "landed_february": february,
+        "landed_damaged_pair_mean_delay": damaged_mean,
+        "stream_landed_pair_mean_delay": damaged_mean,
+        "landed_damaged_rejects": rejected,
+        "stream_damaged_counts": f"""{LINES_SQL}
+            SELECT count(*) AS n_read, count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad
+            FROM (SELECT n_fields >= 6 AND arr_delay IS NOT NULL AS good FROM typed)""",
+        "stream_damaged_pair_mean_delay": damaged_mean,
         "stream_damaged_pair_mean_delay_rejects": damaged.format(
             "value, CASE WHEN n_fields < 6 THEN 'missing origin' ELSE 'unreadable arr_delay' END AS reason", "NOT "
         ),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tarmac.plans.questions import QUESTIONS
-from tarmac.schema import BEST_FLIGHT
+from tarmac.schema import AIRPORT_COUNTS, BEST_FLIGHT
 from tarmac.sinks.external import write_cassandra
 from tarmac.sinks.files import merge_changes
 from tarmac.sources import kafka_lines, text_lines
@@ -22,9 +22,11 @@ from tarmac.streaming import (
     shared_folder,
     start_console,
     start_idle_counts,
+    start_maintained,
     start_question,
     start_shared,
 )
+from tarmac.streaming.tallies import GROUPS
 
 
 SHARED, MERGE = "shared", "merge"
@@ -37,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument(
         "question",
         choices=[*QUESTIONS, SHARED, MERGE],
-        help=f"{SHARED}: the four summing questions in one pass; {MERGE}: fold the change table of --run",
+        help=f"{SHARED}: the four summing questions in one pass; {MERGE}: fold the change tables of --run",
     )
     source = p.add_mutually_exclusive_group()
     source.add_argument("--kafka", metavar="SERVERS", help="brokers holding the question's topic")
@@ -55,6 +57,10 @@ def parser() -> argparse.ArgumentParser:
         help=f"most offsets (Kafka) or files of a batch; live: {LIVE_OFFSETS} offsets, or files of {LIVE_BYTES} bytes",
     )
     p.add_argument("--strict", action="store_true", help="fail on a bad line")
+    p.add_argument("--count-bad", action="store_true", help="count bad lines, and write them nowhere")
+    p.add_argument("--most-bad", type=float, metavar="SHARE", help="stop above this share of bad lines")
+    p.add_argument("--maintained", action="store_true", help="write the ranked groups that a batch changed")
+    p.add_argument("--seed", metavar="PATH", help="tally of a finished job to go on from")
     p.add_argument("--idle-minutes", type=float, help="airport_top10: forget idle airports")
     p.add_argument("--state-partitions", type=int)
     return p
@@ -90,7 +96,14 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[Job | Streamin
         root, checkpoint = paths.table("airport_counts"), paths.checkpoint("airport_counts")
         query = start_idle_counts(lines, root, checkpoint, idle_ms=idle_ms, **common)
         return query, paths
-    common["mode"] = "strict" if args.strict else "permissive"
+    common["mode"] = "strict" if args.strict else "counted" if args.count_bad else "permissive"
+    more = {name: value for name, value in (("most_bad", args.most_bad), ("seed", args.seed)) if value is not None}
+    if more and (args.question == SHARED or args.sink != "files"):
+        raise SystemExit("--most-bad and --seed go with one question and --sink files")
+    if args.maintained:
+        if args.question not in GROUPS or args.sink != "files" or args.seed:
+            raise SystemExit("--maintained goes with a question by groups, --sink files and no seed")
+        return start_maintained(QUESTIONS[args.question], lines, paths, **common, **more), paths
     if args.question == SHARED:
         if args.sink != "files":
             raise SystemExit("shared goes with --sink files")
@@ -108,15 +121,16 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[Job | Streamin
         def sink(batch: DataFrame, batch_id: int) -> None:
             write_cassandra(question.answer(batch), args.keyspace, question.table)
 
-    return start_question(question, lines, root, checkpoint, sink=sink, **common), paths
+    return start_question(question, lines, root, checkpoint, sink=sink, **common, **more), paths
 
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Fold the change table of a run; readers and streams may go on meanwhile."""
+    """Fold the change tables of a run that fold themselves not; readers and streams may go on meanwhile."""
     if not args.run:
         raise SystemExit("merge needs --run")
     paths = RunPaths(args.run)
-    merge_changes(spark, paths.table(BEST_FLIGHT.name), BEST_FLIGHT)
+    for table in (BEST_FLIGHT, AIRPORT_COUNTS):
+        merge_changes(spark, paths.table(table.name), table)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

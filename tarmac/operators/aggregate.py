@@ -51,12 +51,13 @@ FLIGHT = "concat_ws(' ', carrier, flight_num)"
 
 
 def _least_by_text(rows: DataFrame) -> DataFrame:
-    return _least(rows.selectExpr(*TRIP, "arr_delay", "dep_time", f"{FLIGHT} AS flight"))
+    return least(rows.selectExpr(*TRIP, "arr_delay", "dep_time", f"{FLIGHT} AS flight"))
 
 
-def _least(rows: DataFrame) -> DataFrame:
-    least = F.min(F.struct("arr_delay", "dep_time", "flight")).alias("least")
-    return rows.groupBy(*TRIP).agg(least).select(*TRIP, "least.*")
+def least(rows: DataFrame) -> DataFrame:
+    """The least (delay, time, flight) per trip."""
+    first = F.min(F.struct("arr_delay", "dep_time", "flight")).alias("first")
+    return rows.groupBy(*TRIP).agg(first).select(*TRIP, "first.*")
 
 
 # The digits of a flight code, highest first: delay, time (0000 to 2499), two
@@ -100,7 +101,7 @@ def _least_by_code(rows: DataFrame) -> DataFrame:
         f"CASE WHEN NOT usual THEN struct(dep_time, {FLIGHT} AS flight) END AS unusual",
     )
     codes = coded.groupBy(*TRIP, "unusual").agg(F.min("code").alias("code"))
-    return _least(_decoded(codes))
+    return least(_decoded(codes))
 
 
 def _decoded(codes: DataFrame) -> DataFrame:

@@ -49,15 +49,25 @@ def _all_readable(columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, [_readable(c) for c in columns])
 
 
+def _reason(columns: Sequence[str]) -> Column:
+    """The first field at fault."""
+    faults = [F.when(_raw(c).isNull(), f"missing {c}").when(~_readable(c), f"unreadable {c}") for c in columns]
+    return F.coalesce(*faults)
+
+
 def parse_on_time(
-    lines: DataFrame, columns: Sequence[str] = FIELDS, mode: str = "permissive"
+    lines: DataFrame,
+    columns: Sequence[str] = FIELDS,
+    mode: str = "permissive",
+    observe: str | None = None,
 ) -> DataFrame:
     """The given columns of ``on-time`` lines (``value STRING``), typed as ``ON_TIME``.
 
     Only the columns asked for are read and tested, so a line is bad for a
     question only if a field that question needs is missing or unreadable.
     ``permissive`` leaves bad lines out (``rejects`` has them), ``strict`` raises.
-    Works on a stream as on a table.
+    Works on a stream as on a table. ``observe`` names metrics of the same pass: the
+    lines read (``n_read``) and those among them that are good (``n_good``).
     """
     if mode not in ("permissive", "strict"):
         raise ValueError(f"mode must be permissive or strict, not {mode!r}")
@@ -65,7 +75,23 @@ def parse_on_time(
     if mode == "strict":
         bad = F.raise_error(F.concat(F.lit("bad on-time line: "), F.coalesce("value", F.lit("null"))))
         good = F.when(good, True).otherwise(bad.cast("boolean"))
-    return _fields(lines).filter(good).select(*[_typed(c).alias(c) for c in columns])
+    fields = _fields(lines)
+    if observe is not None:
+        # Tested once, below the counting.
+        fields, good = fields.withColumn("good", good), F.col("good")
+        fields = fields.observe(observe, F.count(F.lit(1)).alias("n_read"), F.count_if(good).alias("n_good"))
+    return fields.filter(good).select(*[_typed(c).alias(c) for c in columns])
+
+
+def landed(lines: DataFrame) -> DataFrame:
+    """Every line once: its fields typed, null where unreadable, and of a bad line the text and the reason.
+
+    A line that one question cannot use may do for another, so ``readable`` picks by question.
+    """
+    month = F.date_format(_typed("flight_date"), "yyyy-MM").alias("month")
+    bad = F.when(~_all_readable(FIELDS), F.col("value")).alias("value")
+    typed = [_typed(c).alias(c) for c in FIELDS]
+    return _fields(lines).select(*typed, bad, F.when(~_all_readable(FIELDS), _reason(FIELDS)).alias("reason"), month)
 
 
 def readable(flights: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -79,13 +105,7 @@ def readable(flights: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def rejects(lines: DataFrame, columns: Sequence[str] = FIELDS) -> DataFrame:
     """Lines that ``parse_on_time`` leaves out, with the first field at fault."""
-    reason = F.coalesce(
-        *[
-            F.when(_raw(c).isNull(), f"missing {c}").when(~_readable(c), f"unreadable {c}")
-            for c in columns
-        ]
-    )
-    return _fields(lines).filter(~_all_readable(columns)).select("value", reason.alias("reason"))
+    return _fields(lines).filter(~_all_readable(columns)).select("value", _reason(columns).alias("reason"))
 
 
 def airport_tokens(lines: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac import schema
 from tarmac.functions import mean32, pct32, pct32_int
-from tarmac.operators.aggregate import airport_counts, best_flight, delay_tally
+from tarmac.operators.aggregate import airport_counts, best_flight, delay_tally, least
 from tarmac.operators.parse import airport_tokens, parse_on_time, readable
 from tarmac.operators.rank import first_k, ranked, top_k_per_group
 from tarmac.sources.kafka import ON_TIME_TOPIC, ORIGIN_DESTINATION_TOPIC
@@ -33,11 +33,21 @@ class Question:
     table: schema.Table
     output_mode: str = "complete"
 
-    def records(self, lines: DataFrame, mode: str = "permissive") -> DataFrame:
-        """What the tally reads, from text lines."""
+    def records(self, lines: DataFrame, mode: str = "permissive", observe: str | None = None) -> DataFrame:
+        """What the tally reads, from text lines; ``observe`` as for ``parse_on_time``."""
         if not self.columns:
             return airport_tokens(lines)
-        return parse_on_time(lines, self.columns, mode)
+        return parse_on_time(lines, self.columns, mode, observe)
+
+    def combined(self, tallies: DataFrame) -> DataFrame:
+        """One tally of several, put one below the other."""
+        *keys, last = tallies.columns
+        if self.columns and last == "n":
+            keys.remove("total")
+            return tallies.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        if last == "n":
+            return tallies.groupBy(*keys).agg(F.sum("n").alias("n"))
+        return least(tallies)
 
     def on_records(self, records: DataFrame) -> DataFrame:
         """The answer from airport tokens or typed flights (a table, not a stream).

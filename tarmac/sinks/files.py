@@ -51,6 +51,21 @@ ADAPTIVE = "spark.sql.adaptive.enabled"
 SPREAD = 8
 
 
+#: Airports that the Bloom filters of a row group are sized for (some 25 KB a column).
+AIRPORTS = 20_000
+
+
+def _options(table: Table) -> dict[str, str]:
+    """Bloom filters on the airports of the key.
+
+    Statistics tell a row group apart only by the least and greatest airport, and
+    dictionaries only while Parquet finds them worth writing.
+    """
+    columns = [c for c in table.key if c in ("airport", "origin", "destination")]
+    on = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return on | {f"parquet.bloom.filter.expected.ndv#{c}": str(AIRPORTS) for c in columns}
+
+
 def _schema(table: Table, *more: str) -> str:
     parts = [f"{table.part[0]} STRING"] if table.part else []
     return ", ".join([table.columns, *parts, *more])
@@ -60,7 +75,7 @@ def _columns(table: Table) -> list[str]:
     return table.schema.names + ([table.part[0]] if table.part else [])
 
 
-def _write(df: DataFrame, root: str, table: Table, batch_id: int) -> None:
+def _write(df: DataFrame, path: str, table: Table) -> None:
     """Spread the rows by the key and sort by it, so lookups skip row groups and pages.
 
     Spark's adaptive execution joins small partitions, so the number of files goes by
@@ -73,11 +88,11 @@ def _write(df: DataFrame, root: str, table: Table, batch_id: int) -> None:
         part, sql = table.part
         rows, order = rows.withColumn(part, F.expr(sql)), [part, *order]
         spread = F.xxhash64(part, F.pmod(spread, F.lit(SPREAD)))
-    conf, path = df.sparkSession.conf, f"{root}/{BATCH}={batch_id}"
+    conf = df.sparkSession.conf
     before = conf.get(ADAPTIVE)
     conf.set(ADAPTIVE, "true")
     try:
-        writer = rows.repartition(spread).sortWithinPartitions(*order).write.mode("overwrite")
+        writer = rows.repartition(spread).sortWithinPartitions(*order).write.mode("overwrite").options(**_options(table))
         writer.partitionBy(*order[:1] if table.part else []).parquet(path)
     finally:
         conf.set(ADAPTIVE, before)
@@ -107,7 +122,7 @@ def write_snapshot(df: DataFrame, root: str, table: Table, batch_id: int = 0, *,
 
     Keep enough batches to outlast a running reader.
     """
-    _write(df, root, table, batch_id)
+    _write(df, f"{root}/{BATCH}={batch_id}", table)
     for old in _whole(df.sparkSession, root, BATCH)[:-keep]:
         if old < batch_id:
             _delete(df.sparkSession, f"{root}/{BATCH}={old}")
@@ -125,7 +140,16 @@ def read_snapshot(
 
 def write_changes(df: DataFrame, root: str, table: Table, batch_id: int = 0) -> None:
     """Write the touched keys as one batch; at most one row per key."""
-    _write(df, root, table, batch_id)
+    _write(df, f"{root}/{BATCH}={batch_id}", table)
+
+
+#: The number of a table's base, below all batches.
+BASE = -1
+
+
+def write_base(df: DataFrame, root: str, table: Table) -> None:
+    """Write the rows that a change table starts from, below all its batches."""
+    _write(df, f"{root}/{MERGED}={BASE}", table)
 
 
 def _parts(spark: SparkSession, root: str, table: Table) -> dict[str, list[str]]:
@@ -166,8 +190,8 @@ def _changed(spark: SparkSession, root: str, table: Table, batches: list[int]) -
 
 
 def _unmerged(spark: SparkSession, root: str) -> tuple[int, list[int]]:
-    """The batch merged up to (-1 for none) and the whole batches after it."""
-    base = max(_whole(spark, root, MERGED), default=-1)
+    """The batch merged up to and the whole batches after it."""
+    base = max(_whole(spark, root, MERGED), default=BASE - 1)
     return base, [n for n in _whole(spark, root, BATCH) if n > base]
 
 
@@ -190,7 +214,7 @@ def read_changes(spark: SparkSession, root: str, table: Table, *, parts: bool =
         rows = _merged(spark, root, table)
     else:
         rows = _changed(spark, root, table, batches)
-        rows = rows if base < 0 else _above(_merged(spark, root, table), rows, table)
+        rows = rows if base < BASE else _above(_merged(spark, root, table), rows, table)
     return rows if parts else rows.select(*table.schema.names)
 
 
@@ -209,11 +233,11 @@ def merge_changes(spark: SparkSession, root: str, table: Table) -> None:
         part = table.part[0]
         touched = [r[0] for r in changed.select(part).distinct().collect()]
         merged, order = merged.filter(F.col(part).isin(touched)), [part, *order]
-    current = changed if base < 0 else _above(merged, changed, table)
+    current = changed if base < BASE else _above(merged, changed, table)
     if table.ended:
         current = current.filter(f"NOT ({table.ended})")
     folded = [n for n in _whole(spark, root, BATCH) if n <= base]
-    writer = current.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+    writer = current.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").options(**_options(table))
     writer.partitionBy(*order[:1] if table.part else []).parquet(f"{root}/{MERGED}={batches[-1]}")
     for old in folded:
         _delete(spark, f"{root}/{BATCH}={old}")

@@ -9,10 +9,12 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tarmac.operators.aggregate import TRIP
 from tarmac.operators.parse import FIELDS, parse_on_time, rejects
-from tarmac.plans.questions import QUESTIONS, Question
+from tarmac.plans.questions import QUESTIONS, Question, Step
 from tarmac.plans.shared import SHARED_TALLY, shared_answers, shared_columns, shared_tally
-from tarmac.sinks.files import read_changes, read_snapshot, write_changes, write_snapshot
+from tarmac.sinks.files import exists, read_changes, read_snapshot, write_base, write_changes, write_snapshot
+from tarmac.streaming.counts import LineCounts
 from tarmac.streaming.paths import RunPaths
 from tarmac.streaming.state import state_settings
 
@@ -27,11 +29,13 @@ class Job:
     """The query that keeps an answer, and the one that writes the lines it cannot read, if any.
 
     Structured Streaming has one output per query, so each reads the input for
-    itself. What is not named here is the first query's.
+    itself. ``lines`` counts the lines read and the bad ones in the first query's own
+    read. What is not named here is the first query's.
     """
 
     query: StreamingQuery
     rejected: StreamingQuery | None = None
+    lines: LineCounts | None = None
 
     def __getattr__(self, name: str) -> Any:
         return getattr(self.query, name)
@@ -40,8 +44,14 @@ class Job:
         return [q for q in (self.query, self.rejected) if q is not None]
 
     def awaitTermination(self) -> None:  # noqa: N802  as a query has it
+        """Wait for the end; a job that its bad lines stopped raises ``BadLines``."""
+        self.query.awaitTermination()
+        if self.lines is not None and self.lines.over and self.rejected is not None:
+            self.rejected.stop()
         for query in self._both():
             query.awaitTermination()
+        if self.lines is not None:
+            self.lines.settle(self.query)
 
     def stop(self) -> None:
         for query in self._both():
@@ -53,19 +63,44 @@ def rejects_of(root: str) -> str:
     return f"{root}_rejects"
 
 
-def _file_sink(question: Question, root: str) -> Sink:
+def _file_sink(question: Question, root: str, seed: str | None) -> Sink:
     """Complete answers go to a snapshot table, touched keys to a change table."""
     write = write_snapshot if question.output_mode == "complete" else write_changes
-    return lambda batch, batch_id: write(question.answer(batch), root, question.table, batch_id)
+    added = _seeded(question, seed)
+    return lambda batch, batch_id: write(question.answer(added(batch)), root, question.table, batch_id)
 
 
 def _started(
-    writer: Any, lines: DataFrame, columns: Sequence[str], root: str, checkpoint: str, trigger: Mapping[str, Any], mode: str
+    writer: Any,
+    lines: DataFrame,
+    columns: Sequence[str],
+    root: str,
+    checkpoint: str,
+    trigger: Mapping[str, Any],
+    mode: str,
+    counts: LineCounts | None = None,
 ) -> Job:
     query = writer.start()
-    if mode == "strict" or not columns:
-        return Job(query)
-    return Job(query, start_rejects(lines, rejects_of(root), rejects_of(checkpoint), columns, trigger=trigger))
+    if counts is not None:
+        counts.query = query
+    if mode != "permissive" or not columns:
+        return Job(query, None, counts)
+    rejected = start_rejects(lines, rejects_of(root), rejects_of(checkpoint), columns, trigger=trigger)
+    return Job(query, rejected, counts)
+
+
+def _seeded(question: Question, seed: str | None) -> Step:
+    """The tallies of a batch with those of a seed added."""
+    if seed is None:
+        return lambda batch: batch
+
+    def added(batch: DataFrame) -> DataFrame:
+        known = batch.sparkSession.read.schema(batch.schema).parquet(seed)
+        if question.output_mode != "complete":  # of touched keys
+            known = known.join(batch.select(*TRIP), list(TRIP), "left_semi")
+        return question.combined(batch.unionByName(known))
+
+    return added
 
 
 def start_question(
@@ -78,23 +113,39 @@ def start_question(
     mode: str = "permissive",
     state_partitions: int | None = None,
     sink: Sink | None = None,
+    output_mode: str | None = None,
+    most_bad: float | None = None,
+    seed: str | None = None,
 ) -> Job:
     """Keep a question's serving table under ``root`` up to date with a stream of lines.
 
     Lines that the question cannot read go to the Parquet folder ``rejects_of(root)``
-    with their reasons, unless the mode is strict. A restart on the same checkpoint
-    goes on where it stopped. ``sink`` replaces the file table; it gets each batch's
-    tally and batch number, and must do the same again if a batch is replayed.
+    with their reasons, unless the mode is ``strict``, which fails on one, or ``counted``,
+    which only counts them. ``most_bad`` is the share of bad lines above which the job
+    stops. A restart on the same checkpoint goes on where it stopped. ``sink`` replaces
+    the file table; it gets each batch's tally and batch number, and must do the same
+    again if a batch is replayed.
+
+    ``seed`` is a tally that another job has left (``save_tally``): the answer is over
+    the lines of both. It stays with the job, so give it again on a restart.
     """
-    tally = question.tally(question.records(lines, mode))
+    if seed is not None and sink is not None:
+        raise ValueError("a seed goes with the file table")
+    spark = lines.sparkSession
+    counts = LineCounts(spark, most_bad) if question.columns else None
+    reading = "permissive" if mode == "counted" else mode
+    tally = question.tally(question.records(lines, reading, counts.name if counts else None))
+    if seed is not None and question.output_mode != "complete" and not exists(spark, f"{root}/batch_id=0"):
+        first = spark.read.schema(tally.schema).parquet(seed)
+        write_base(question.answer(first), root, question.table)
     writer = (
-        tally.writeStream.outputMode(question.output_mode)
-        .foreachBatch(sink or _file_sink(question, root))
+        tally.writeStream.outputMode(output_mode or question.output_mode)
+        .foreachBatch(sink or _file_sink(question, root, seed))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
-    with state_settings(lines.sparkSession, state_partitions):
-        return _started(writer, lines, question.columns, root, checkpoint, trigger, mode)
+    with state_settings(spark, state_partitions):
+        return _started(writer, lines, question.columns, root, checkpoint, trigger, mode, counts)
 
 
 def start_shared(

@@ -12,6 +12,7 @@ from tarmac.operators.parse import FIELDS, airport_tokens, parse_on_time, reject
 from tarmac.schema import ON_TIME
 from tarmac.sources.derived import damaged_lines, on_time_lines
 
+# The documented sample record (fixed value).
 LINE = "2008-01-03 Thursday WN WN 588 HOU LIT 1325 1 1435 16.00 1.00"
 SHORT = "2008-01-03 Thursday WN WN 588"
 BAD_DELAY = LINE.replace("16.00", "x")

@@ -224,3 +224,21 @@ def test_trips_of_a_month_read_that_month_and_its_follower(spark, tmp_path, merg
     assert two_leg_trips(xyz, requests).count() == 0
     lookup = best_flight_on(xyz, "03/03/2008", "AM", "BOS", "ATL")
     assert [r.delay for r in lookup.collect()] == [3]
+
+
+def rows_scanned(df):
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plan = leaves.head()
+    plan = plan.executedPlan().collectLeaves().head() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_row_groups_without_a_pair_are_skipped(spark, tmp_path):
+    """By Bloom filters and dictionaries, where the pair lies between the least and the greatest."""
+    pairs = [(f"A{i:03}", f"B{i % 7}", float(i)) for i in range(0, 400, 2)]
+    write_snapshot(spark.createDataFrame(pairs, MEAN_DELAY.schema).coalesce(1), str(tmp_path), MEAN_DELAY)
+    table = read_snapshot(spark, str(tmp_path), MEAN_DELAY)
+    assert rows_scanned(mean_delay_of_pair(table, "A200", "B4")) > 0
+    for absent in (("A201", "B4"), ("A200", "B35")):  # both lie between the statistics' bounds
+        assert rows_scanned(mean_delay_of_pair(table, *absent)) == 0
