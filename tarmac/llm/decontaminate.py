@@ -2,19 +2,25 @@
 
 The test items are a stated query set. They are taken in blocks of at most
 ``BLOCK_ITEMS``, each sent to the executors, so what is broadcast has a bound and a
-larger benchmark only takes more passes. A first pass counts how often each 4-gram of
-the items occurs in all documents. Every one that occurs is a
-seed, so any four words left unchanged contain one, however often the passage was
-copied; a copy without four unchanged words in a row is not found. A second pass finds
-the seeds in whole documents and aligns the item with the text around each, if enough
-of its words are there: a match scores 2, another word or a gap -1.
+larger benchmark only takes more passes. One pass over whole documents finds those with
+a 4-gram of an item and writes them down with the grams; how many documents hold each
+gram is counted from that table. Of each ``GRAM`` grams of an item in a row, the rarest
+among those that occur is a seed. The documents written down are joined to the items by the seeds
+they hold, and by a commoner gram only where no seed of the item lies near, so any four
+words left unchanged bring a copy to its item, however often it was copied; a copy
+without four unchanged words in a row is not found. The item is aligned with the text
+around each seed, if enough of its words are there: a match scores 2, another word or a
+gap -1.
 
 ``score`` is the best alignment's share of an item's perfect score. Words are runs of
 letters and digits in lower case.
 
 Defined results: null or blank texts and items of fewer than four words match
-nothing. Repeated rows are found as often as they occur. Several places in one
-document count once, by the best and then first of them.
+nothing; of an empty benchmark or table nothing is found. Repeated rows are found as
+often as they occur. Several places in one document count once, by the best and then
+first of them. A text of any length is searched whole. Rows without an id are found with
+a null id; ``decontaminate`` tells rows by id and text, so rows of one id are judged
+each by its text. It returns further columns of whatever name as they are.
 """
 
 from __future__ import annotations
@@ -27,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import keep, quoted
+
 GRAM = 4
 BLOCK_ITEMS = 20_000
 MATCH, MISS, GAP = 2, -1, -1
@@ -50,7 +58,7 @@ class Items:
         codes = [self.codes(w)[1] for w in self.words]
         self.grams = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.uint64)
         self.places = [np.searchsorted(self.grams, c) for c in codes]
-        self.seeds: dict[int, list[tuple[int, int]]] = {}
+        self.seeds: dict[int, list[tuple[int, int, bool]]] = {}
 
     def numbers(self, ws: list[str]) -> np.ndarray:
         get = self.vocabulary.get
@@ -81,11 +89,16 @@ class Items:
         return at[hit], which[hit]
 
     def choose(self, counts: dict[int, int]) -> None:
-        """Every gram that some document holds becomes a seed."""
+        """Mark the rarest gram of each ``GRAM`` in a row as seeds, of those that some document holds."""
         for item, places in enumerate(self.places):
+            held = [(counts.get(int(gram), 0), j) for j, gram in enumerate(places)]
+            rare = set()
+            for at in range(max(1, len(held) - GRAM + 1)):
+                window = [h for h in held[at : at + GRAM] if h[0]]
+                rare |= {min(window)[1]} if window else set()
             for j, gram in enumerate(places):
-                if counts.get(int(gram), 0):
-                    self.seeds.setdefault(int(gram), []).append((item, j))
+                if held[j][0]:
+                    self.seeds.setdefault(int(gram), []).append((item, j, j in rare))
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -106,13 +119,20 @@ def matches(items: Items, text: str | None, least: float) -> list[tuple[int, flo
     """Item, score, first and last word of the stretch searched, of each item found in a text."""
     numbers = items.numbers(words(text))
     stretches: dict[int, list[list[int]]] = {}
+    common: list[tuple[int, int, list[int]]] = []
     for at, which in zip(*items.found(numbers)):
-        for item, place in items.seeds.get(int(which), ()):
+        for item, place, rare in items.seeds.get(int(which), ()):
             size = len(items.words[item])
             slack = int(MATCH * size * (1 - least) / -GAP)  # as many words inserted cost the score its share
-            stretches.setdefault(item, []).append(
-                [max(0, int(at) - place - slack), min(len(numbers), int(at) - place + size + slack)]
-            )
+            stretch = [max(0, int(at) - place - slack), min(len(numbers), int(at) - place + size + slack)]
+            if rare:
+                stretches.setdefault(item, []).append(stretch)
+            else:
+                common.append((item, int(at), stretch))
+    for item, at, stretch in common:  # commoner grams, where the item has no stretch yet
+        own = stretches.setdefault(item, [])
+        if not any(lo <= stretch[0] and stretch[1] <= hi for lo, hi in own):
+            own.append(stretch)
     out = []
     for item, own in stretches.items():
         size, parts = len(items.words[item]), []
@@ -132,8 +152,8 @@ def matches(items: Items, text: str | None, least: float) -> list[tuple[int, flo
     return out
 
 
-def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
-    """The items in blocks, with seeds chosen by counts over all documents."""
+def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Items, DataFrame]]:
+    """The items in blocks, and of each the documents (``doc_id``, ``text``) that hold a gram of it."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint"), "text").filter("text IS NOT NULL")
     n_blocks = -(-items.count() // BLOCK_ITEMS)
@@ -142,51 +162,58 @@ def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
         own = Items(sorted(block.collect(), key=lambda r: (r[0] is None, r[0], r[1])))
         shared = spark.sparkContext.broadcast(own)
 
-        def count(batches, shared=shared):
+        def hold(batches, shared=shared):
             items = shared.value
-            total = np.zeros(len(items.grams), np.int64)
             for batch in batches:
-                for text in batch.column(0):
-                    total += np.bincount(items.found(items.numbers(words(text.as_py())))[1], minlength=len(total))
-            gram = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total[gram])], ["gram", "n"])
-
-        counted = docs.select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n"))
+                texts = batch.column("text")
+                grams = [np.unique(items.found(items.numbers(words(t.as_py())))[1]) for t in texts]
+                some = pa.array([len(g) > 0 for g in grams], pa.bool_())
+                held = pa.array([g for g in grams if len(g)], pa.list_(pa.int64()))
+                columns = [batch.column("doc_id").filter(some), texts.filter(some), held]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "grams"])
+
+        texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+        held = keep(texts.mapInArrow(hold, "doc_id bigint, text string, grams array<bigint>"))
+        counted = held.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*"))
         own.choose(dict(map(tuple, counted.collect())))  # at most the grams of a block
-        yield own
+        yield own, held
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> DataFrame:
-    """``doc_id``, ``item_id``, ``score``, ``first_word`` and ``end_word`` of each item found in a document."""
-    schema = "doc_id bigint, item_id bigint, score double, first_word bigint, end_word bigint"
-    ids = docs.select(F.col("doc_id").cast("bigint"), "text")
+FOUND = "doc_id bigint, item_id bigint, score double, first_word bigint, end_word bigint"
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, least: float, schema: str, row) -> DataFrame:
+    """Rows made of the matches of the documents that hold a gram, over all blocks of items."""
+    kinds = {"bigint": pa.int64(), "double": pa.float64()}
+    names, types = zip(*((name, kinds[kind]) for name, kind in (column.split() for column in schema.split(", "))))
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in blocks(docs, benchmark):
+    for items, held in blocks(docs, benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def find(batches, shared=shared):
             for batch in batches:
-                found = [
-                    (i.as_py(), *m) for i, t in zip(batch.column(0), batch.column(1)) for m in matches(shared.value, t.as_py(), least)
-                ]
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                columns = [pa.array([r[k] for r in found], kind) for k, kind in enumerate(types)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "score", "first_word", "end_word"])
-
-        out = out.unionByName(ids.mapInArrow(find, schema))
+                pairs = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), *(batch.column(c).to_pylist() for c in batch.schema.names[2:]))
+                found = [row(i, m, *more) for i, t, *more in pairs for m in matches(shared.value, t, least)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(types)], names)
+
+        # The two hashes tell rows of one id apart.
+        hashes = (F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+        out = out.unionByName(held.select("doc_id", "text", *hashes).mapInArrow(find, schema))
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents without a benchmark passage, with their columns."""
-    out = docs
-    for items in blocks(docs, benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> DataFrame:
+    """``doc_id``, ``item_id``, ``score``, ``first_word`` and ``end_word`` of each item found in a document."""
+    return _found(docs, benchmark, least, FOUND, lambda doc_id, match, *_: (doc_id, *match))
 
-        def clean(batches, shared=shared):
-            for batch in batches:
-                texts = batch.column(batch.schema.names.index("text"))
-                yield batch.filter(pa.array([not matches(shared.value, t.as_py(), least) for t in texts], pa.bool_()))
 
-        out = out.mapInArrow(clean, docs.schema)
-    return out
+def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> DataFrame:
+    """The documents without a benchmark passage, with their columns."""
+    bad = _found(docs, benchmark, least, "id bigint, h1 bigint, h2 bigint", lambda doc_id, _, h1, h2: (doc_id, h1, h2))
+    bad = keep(bad.distinct())
+    row = F.struct(*(docs[quoted(c)] for c in docs.columns)).alias("row")
+    hashes = (F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+    df = docs.select(row, F.col("doc_id").cast("bigint").alias("id"), *hashes)
+    same = df["id"].eqNullSafe(bad["id"]) & (df["h1"] == bad["h1"]) & (df["h2"] == bad["h2"])
+    # How many go grows with the corpus, so the join is by shuffle at every size.
+    return df.join(bad.hint("merge"), same, "left_anti").select("row.*")

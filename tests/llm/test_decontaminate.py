@@ -76,3 +76,52 @@ def test_edited_copies(spark):
     df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
     bench = spark.createDataFrame(items, "item_id BIGINT, text STRING")
     assert set(rows(d.contaminated(df, bench), "doc_id", "item_id", "score")) == expected
+
+
+def test_every_item_by_every_document(spark):
+    """Copies with 15 to 30 % of their words replaced at random, against the alignment of all pairs."""
+    rng = random.Random(4)
+    items = [(k, words(rng, rng.randrange(15, 56))) for k in range(25)]
+    docs = []
+    for k in range(100):
+        item, share = items[k % 25][1], (0.15, 0.2, 0.25, 0.3)[k // 25]
+        copy = [f"x{k}y{i}" if rng.random() < share else w for i, w in enumerate(item)]
+        docs.append((k, [*words(rng, rng.randrange(60)), *copy, *words(rng, rng.randrange(60))]))
+    want, lost = set(), set()
+    for k, text in docs:
+        numbers = {w: i for i, w in enumerate(dict.fromkeys(text))}
+        for i, item in items:
+            whole = d.align(np.array([numbers.get(w, -1) for w in item]), np.arange(0) if not text else np.array([numbers[w] for w in text]))
+            score = whole[0] / (d.MATCH * len(item))
+            if score >= 0.5:
+                want.add((k, i, score))
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in docs], "doc_id BIGINT, text STRING")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id BIGINT, text STRING")
+    got = set(rows(d.contaminated(df, bench), "doc_id", "item_id", "score"))
+    lost = want - got
+    assert got <= want and len(want) > 60
+    for k, i, _ in lost:  # only those without four words in a row are missed
+        text, item = docs[k][1], items[i][1]
+        grams = lambda ws: {tuple(ws[j : j + 4]) for j in range(len(ws) - 3)}
+        assert not grams(text) & grams(item)
+    assert len(lost) <= 2
+
+
+def test_rare_grams_lead_and_common_ones_fill_in():
+    block = d.Items([(1, " ".join(f"w{i}" for i in range(12))), (2, "w0 w1 w2 w3 z1 z2 z3")])
+    block.choose({int(g): 100 if n < 4 else 1 for n, g in enumerate(block.places[0])} | {int(g): 3 for g in block.places[1][1:]})
+    rare = {(item, j) for seeds in block.seeds.values() for item, j, r in seeds if r}
+    assert (0, 4) in rare and (0, 0) in rare and (0, 1) not in rare
+    # An intact gram that is not the rarest of its neighbours finds the copy by itself.
+    text = "a b w1 w2 w3 w4 c w6 w7 d w9 w10 w11"
+    assert [m[0] for m in d.matches(block, text, 0.4)] == [1]
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    item = "one two three four five six seven"
+    docs = spark.createDataFrame([(1, item), (1, "clean"), (None, item), (None, None), (2, item), (2, item)], "doc_id BIGINT, text STRING")
+    bench = spark.createDataFrame([(9, item)], "item_id BIGINT, text STRING")
+    left = d.decontaminate(docs.selectExpr("*", "1 AS id", "2 AS h1", "3 AS `a.b`", "4 AS row"), bench)
+    assert left.columns == ["doc_id", "text", "id", "h1", "a.b", "row"]
+    assert rows(left, "doc_id", "text") == [(1, "clean"), (None, None)]
+    assert rows(d.contaminated(docs, bench), "doc_id") == [(1,), (2,), (2,), (None,)]
