@@ -151,7 +151,7 @@ totals AS (
   SELECT lang, count(*) AS total FROM word_rows WHERE lang IS NOT NULL
   GROUP BY lang HAVING count(*) >= {_RULES.min_reference_words}),
 common AS (
-  SELECT lang, w, count(*) AS n FROM word_rows WHERE length(w) <= {_RULES.max_word_chars} AND lang IS NOT NULL
+  SELECT lang, w, count(*) AS n FROM word_rows WHERE lang IS NOT NULL
   GROUP BY lang, w
   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, encode(w)) <= {_RULES.common_words}),
 word_refs AS (
