@@ -7,9 +7,12 @@ its trigrams. Viterbi search with a penalty for each switch labels the words, fo
 documents at a time. The document's language is the one with the most letters in its
 spans, and ``score`` is its share of the letters.
 
-Defined results: a null text, or one without letters, is ``und`` with score 0. Equal
-shares go to the first name. Without a labelled document every text is ``und``.
-Repeated rows get equal results.
+Defined results: a null text, or one without letters, is ``und`` with score 0; marks and
+digits are no letters. Equal shares go to the first name. Without a labelled document
+every text is ``und``. Repeated rows get equal results. A text of any length is read
+whole. An empty table gives none; further columns of whatever name are not read. There is
+one table of scores for each language (``BINS`` of them) on every executor, so there
+are to be at most ``MOST_LANGUAGES`` labels; more are refused.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ SAMPLE = 5_000
 BINS = 1 << 16
 #: Nats that a switch of language costs.
 SWITCH = 18.0
+#: Labels at most: what is collected and sent to the executors has a row for each and trigram.
+MOST_LANGUAGES = 256
 #: A language has a script if it makes up this share of its letters.
 SCRIPT_SHARE = 0.01
 #: Scores held at a time: words times languages.
@@ -52,8 +57,8 @@ _SCRIPT = np.array([SCRIPTS.index(s) for _, s in _RANGES])
 
 @functools.lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Which code points are letters or marks on them."""
-    return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)])
+    """Which code points are letters, 2, or marks, 1, which only join letters within trigrams."""
+    return np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], np.uint8)
 
 
 @dataclass
@@ -71,7 +76,8 @@ def words_of_texts(texts: list[str]) -> Words:
     """Words of texts in lower case; what is not a letter is a boundary within trigrams."""
     joined = " ".join(["", *(t.lower().replace("\x00", " ") for t in texts), ""])
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[points]
+    kind = _letters()[points]
+    letter, true_letter = kind > 0, kind == 2
     space = (points == 32) | ((points >= 9) & (points <= 13))
     first = ~space
     first[1:] &= space[:-1]
@@ -89,8 +95,8 @@ def words_of_texts(texts: list[str]) -> Words:
     if not len(begin):
         empty = np.empty(0, np.int64)
         return Words(bins, empty, empty, empty, np.zeros(len(texts) + 1, np.int64))
-    n_letters = np.add.reduceat(letter.astype(np.int64), begin)
-    nearest = np.minimum.accumulate(np.where(letter, np.arange(len(p)), len(p) - 1)[::-1])[::-1]
+    n_letters = np.add.reduceat(true_letter.astype(np.int64), begin)
+    nearest = np.minimum.accumulate(np.where(true_letter, np.arange(len(p)), len(p) - 1)[::-1])[::-1]
     script = _SCRIPT[np.searchsorted(_FIRST, points[nearest[begin]], "right") - 1]
     starts = np.cumsum([0, *(len(t.lower()) + 1 for t in texts)])
     return Words(bins, begin, n_letters, script, np.searchsorted(begin, starts))
@@ -189,7 +195,9 @@ def learn(docs: DataFrame) -> Languages:
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
     number = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(1 << 20))
     labelled = labelled.select("lang", text, number.alias("number"))
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row per language
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} labels of languages")
     chosen = F.lit(False)
     for lang, n in sizes.items():
         chosen |= (F.col("lang") == lang) & (F.col("number") < int(min(1.0, SAMPLE / n) * (1 << 20)) + 1)

@@ -3,7 +3,8 @@ from __future__ import annotations
 import random
 
 import numpy as np
-from conftest import SF_DIR
+import pytest
+from conftest import SF_DIR, rows
 from pyspark.sql import functions as F
 
 from tarmac.llm import language
@@ -66,3 +67,18 @@ def test_learns_from_nothing_held_out(spark):
     docs = spark.createDataFrame([(i, "abc def", f"l{i}") for i in range(60)], "doc_id BIGINT, text STRING, lang STRING")
     held = {r["doc_id"] for r in docs.filter(language.held_out(F.col("doc_id"))).collect()}
     assert set(language.learn(docs).names) == {f"l{i}" for i in range(60) if i not in held}
+
+
+def test_marks_are_no_letters(spark):
+    docs = [(i, "some words of one language and more of them", "en") for i in range(30)]
+    asked = [(100, "❤️ 123"), (101, "́"), (102, "12 ́́ !"), (103, "café")]
+    table = spark.createDataFrame([*docs, *((i, t, None) for i, t in asked)], "doc_id BIGINT, text STRING, lang STRING")
+    got = dict(rows(language.identify(table).filter("doc_id >= 100"), "doc_id", "lang_pred"))
+    assert got == {100: "und", 101: "und", 102: "und", 103: "en"}
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    table = spark.createDataFrame([(i, "text", f"l{i}") for i in range(40)], "doc_id BIGINT, text STRING, lang STRING")
+    with pytest.raises(ValueError, match="more than 3 labels"):
+        language.identify(table)

@@ -49,3 +49,33 @@ def test_best_run_by_trying_all():
         best = max(((a, b) for a in range(len(own)) for b in range(a + 1, len(own) + 1)), key=lambda r: value(*r))
         kept = [b.text for b in own[best[0] : best[1]] if not weights.boilerplate(b)]
         assert main.main_text(page, weights) == "\n".join(kept)
+
+
+def read(page):
+    return main.main_text(page, main.weights(main.hand_counts()))
+
+
+def test_elements_left_open_hide_nothing():
+    sentence = " ".join(LONG.split())
+    article = f"<article><p>{LONG}</p><p>{LONG}</p></article>"
+    for before in ("<select>", "<object data=x>", "<select><option>", "<canvas>", "<svg><g>", "<noscript>", "<p title=Don't>", "<i b='c' title=isn't href=x>", "<!-->", "<!--->"):
+        assert read(f"<body>{before}{article}<p title='it'>") == f"{sentence}\n{sentence}", before
+    # One left open does not reach to the end of a later one; what is closed stays out.
+    page = f"<body><select>{article}<svg><text>no</text></svg><select><option>no</select><object><p>no {LONG}</p></object>"
+    assert read(page) == f"{sentence}\n{sentence}"
+    assert read(f"<body>{article}<script>if (a < b) '<p>{LONG}</p>'") == f"{sentence}\n{sentence}"
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    sentence = " ".join(LONG.split())
+    for name, n in (("p", 50_000), ("div", 50_000), ("b", 50_000), ("i><div", 25_000)):
+        start = time.time()
+        assert read(f"<{name}>" * n + f"<article><p>{LONG}</p></article>" + f"</{name.split('>')[0]}>" * n) == sentence
+        assert time.time() - start < 5
+
+
+def test_inline_end_tags_leave_blocks_open():
+    got = main.blocks("<b class=x><div>one</b>two</div>three")
+    assert [(b.text, ".x" in b.features) for b in got[:-1]] == [("onetwo", True), ("three", False)]
