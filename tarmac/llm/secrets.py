@@ -1,14 +1,18 @@
 """Secrets in texts: fixed patterns, and tokens whose format resembles known credentials.
 
 The patterns give the base findings and, by a bounded sample of their values, the
-labelled credentials. From these one probabilistic automaton per kind is inferred
-(``automata``). Every other token of credential characters, letters and digits mixed,
-is a candidate in every whole text; it is found if some automaton makes it about as
-likely per character as its least likely example, and likelier by a margin than an
-automaton of ordinary words does.
+labelled credentials. From these one probabilistic automaton is inferred for each kind of
+which there are ``LEAST_EXAMPLES`` different ones or more (``automata``). Every other token
+of credential characters, of whatever make and as long as the shortest of these
+credentials, is a candidate in every whole text; it is found if some automaton makes it
+about as likely per character as its least likely example, and likelier by a margin than
+an automaton of ordinary words does.
 
 Defined results: a null text is empty and has no findings. Repeated rows are scanned
-one by one. Without labelled credentials only the base findings are made.
+one by one. Without labelled credentials only the base findings are made. Findings that
+begin at one place come in the order of the kinds. A text of any length is scanned whole,
+in time linear in its length and findings. An empty table gives none. Further columns
+of whatever name are not read; ``redact`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -35,12 +39,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _HINT = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}"
 
-_TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+_TOKEN = r"[A-Za-z0-9+/_.=-]{%d,}"
 _PLAIN = r"^\p{L}{4,20}[.,;:!?]?$"
 
 #: The labelled sample: so many different values of each kind, none longer than this, and so many ordinary words.
 SAMPLE_VALUES, SAMPLE_CHARS, SAMPLE_WORDS = 300, 80, 2000
+#: A kind with fewer different values teaches no format.
+LEAST_EXAMPLES = 10
+#: Verdicts on tokens that a task holds at most, of tokens up to ``SAMPLE_CHARS`` long.
+HELD = 200_000
 #: Bits per character that a token may be less likely than the least likely example, and must be likelier than as an ordinary word.
 SLACK, MARGIN = 0.25, 1.0
 
@@ -55,36 +62,67 @@ def base_findings(text: str) -> list[tuple[int, str, int, str]]:
 
 @dataclass
 class Formats:
-    """Automata of credentials, each with the least likelihood it accepts, and that of ordinary words."""
+    """Automata of credentials, each with the least likelihood it accepts, that of ordinary words, and the shortest length."""
 
     credentials: list[tuple[Automaton, float]]
     plain: Automaton | None
+    shortest: int = 1
+    verdicts: dict[str, bool] = field(default_factory=dict)
 
     def likely(self, token: str) -> bool:
         if not self.credentials:
             return False
+        known = self.verdicts.get(token)
+        if known is None:
+            known = self._likely(token)
+            if len(self.verdicts) > HELD:
+                self.verdicts.clear()
+            if len(token) <= SAMPLE_CHARS:
+                self.verdicts[token] = known
+        return known
+
+    def _likely(self, token: str) -> bool:
         plain = self.plain.bits(token) if self.plain else -100.0
         return any((b := a.bits(token)) >= least and b >= plain + MARGIN for a, least in self.credentials)
 
+    def tokens(self, text: str) -> Iterator[re.Match]:
+        """The candidates of a text."""
+        return re.finditer(_TOKEN % self.shortest, text) if self.credentials else iter(())
+
 
 def learn(values: dict[str, list[str]], plain: list[str]) -> Formats:
     """Formats from labelled credentials by kind and ordinary words."""
-    credentials = []
+    credentials, lengths = [], []
     for kind in sorted(values):
         examples = sorted(set(values[kind]))
-        if len(examples) >= 10:
+        if len(examples) >= LEAST_EXAMPLES:
             automaton = Automaton(examples)
             credentials.append((automaton, min(map(automaton.bits, examples)) - SLACK))
-    return Formats(credentials, Automaton(sorted(plain)) if plain else None)
+            lengths += map(len, examples)
+    return Formats(credentials, Automaton(sorted(plain)) if plain else None, min(lengths, default=1))
+
+
+def _joined(spans: list[tuple[int, str, int]]) -> list[list[int]]:
+    """First and last place of the stretches that spans, given by their begin, cover."""
+    out: list[list[int]] = []
+    for a, _, b in spans:
+        if out and a < out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
 
 
 def findings(text: str | None, formats: Formats) -> list[tuple[int, str, int]]:
     """Start, kind and end of all findings, by start and then kind as listed."""
     text = text or ""
     base = [(a, kind, b) for a, kind, b, _ in base_findings(text)]
-    out = list(base)
-    for m in _TOKEN.finditer(text):
-        if _MIXED.match(m[0]) and all(b <= m.start() or a >= m.end() for a, _, b in base) and formats.likely(m[0]):
+    out, taken, k = list(base), _joined(base), 0
+    for m in formats.tokens(text):
+        # Both lists go by place, so they are walked together.
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
+        if (k == len(taken) or taken[k][0] >= m.end()) and formats.likely(m[0]):
             out.append((m.start(), "format", m.end()))
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[1])))
 
@@ -108,7 +146,9 @@ def learn_formats(docs: DataFrame) -> Formats:
         by_kind.setdefault(row["kind"], []).append(row["value"])
     word = hinted.select(F.explode(words_of(F.col("text"))).alias("word"))
     word = word.filter(F.col("word").rlike(_PLAIN))
-    plain = word.distinct().orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS)
+    # A credential of letters is no ordinary word.
+    word = word.distinct().join(labelled.select(F.col("value").alias("word")).distinct(), "word", "left_anti")
+    plain = word.orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS)
     return learn(by_kind, [r["word"] for r in plain.collect()])
 
 
