@@ -8,8 +8,8 @@ reference of its language by Jensen-Shannon distance.
 Defined results: a null or blank text has no words and fails the base rules. A null
 language, or one with too little text for a reference, is judged by the base rules
 alone, and so is a document below the minimum lengths. Repeated rows are judged one
-by one; of words counted equally often the lesser is the commoner. A text of any length
-is judged whole. An empty table gives none. Columns of any name may stand beside
+by one. Words that tie for the last place among the common ones are none of them. A
+text of any length is judged whole. An empty table gives none. Columns of any name may stand beside
 ``text`` and ``lang``.
 """
 
@@ -79,15 +79,15 @@ def _classes(df: DataFrame, text: str, *also: Column) -> DataFrame:
 
 
 def window_hashes(df: DataFrame) -> DataFrame:
-    """``windows``: a hash of each window of words, from hashes of two and of four."""
-    n = F.greatest(F.size("words"), F.lit(1))
+    """``windows``: a hash of each window of words, from the words' ``hashes`` by twos and fours."""
+    n = F.greatest(F.size("hashes"), F.lit(1))
     halves = lambda size: F.zip_with(
         "windows", F.slice("windows", size + 1, n), lambda a, b: F.xxhash64(a, b)
     )
-    df = df.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("windows"))
+    df = df.select("*", F.col("hashes").alias("windows"))
     for size in (1, 2, 4):
         df = df.withColumn("windows", halves(size))
-    return df.withColumn("windows", F.slice("windows", 1, F.greatest(F.size("words") - (WINDOW - 1), F.lit(0))))
+    return df.withColumn("windows", F.slice("windows", 1, F.greatest(F.size("hashes") - (WINDOW - 1), F.lit(0))))
 
 
 def repeat_words(windows: Column) -> Column:
@@ -108,18 +108,20 @@ def repeat_words(windows: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``row`` (all columns of the document), its words, base counts, ``base_failed`` and class counts."""
+    """``row`` (all columns of the document), a hash of each word, base counts, ``base_failed`` and class counts."""
     text = F.coalesce(F.col("row.text"), F.lit(""))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(f"[^{SPACE[1:-1]}]"))
     df = docs.select(F.struct(*(docs[quoted(c)] for c in docs.columns)).alias("row"))
     df = df.select("row", text.alias("t")).select("row", "t", words_of(F.col("t")).alias("words"), lines.alias("lines"))
+    hashes = F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
+    df = df.select("row", "t", "lines", hashes, F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"))
     df = _classes(window_hashes(df), "t", _count(F.col("left"), SYMBOLS).cast("bigint").alias("n_symbols"))
     repeated = F.size(F.array_distinct("windows")) < F.size("windows")
     df = df.select(
         "row",
-        "words",
-        F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        "hashes",
+        F.size("hashes").cast("bigint").alias("n_words"),
+        "word_chars",
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.when(repeated, repeat_words(F.col("windows"))).otherwise(0).cast("bigint").alias("n_repeat_words"),
@@ -132,9 +134,10 @@ def base_counts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Per language: ``class_sums``, its common words and their counts, and the number of words.
+    """Per language: ``class_sums``, its common words (their hashes) and their counts, and the number of words.
 
-    Summed over all documents. Equal counts go by the word.
+    Summed over all documents. The common words are the ``common_words`` most frequent,
+    without those that tie with the next one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     labelled = docs.filter("lang IS NOT NULL").select("lang", text.alias("t"))
@@ -142,15 +145,15 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     sums = _classes(labelled, "t").select("lang", *(F.get("classes", F.lit(k)).alias(f"c{k}") for k in bins))
     sums = sums.groupBy("lang").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in bins))
     sums = sums.select("lang", F.array(*(f"c{k}" for k in bins)).alias("class_sums"))
-    words = labelled.select("lang", F.explode(words_of(F.col("t"))).alias("word"))
+    hashes = F.transform(words_of(F.col("t")), lambda w: F.xxhash64(w))
+    words = labelled.select("lang", F.explode(hashes).alias("word"))
     counted = keep(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = (
-        counted.withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= rules.common_words)
-        .groupBy("lang")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
-    )
+    first = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rules.common_words + 1)
+    first = first.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
+    # Words as frequent as the first one left out are left out as well.
+    border = F.coalesce(F.get("top", F.lit(rules.common_words))["n"], F.lit(0))
+    top = first.select("lang", F.filter("top", lambda x: x["n"] > border).alias("top"))
     total = counted.groupBy("lang").agg(F.sum("n").alias("total")).filter(F.col("total") >= rules.min_reference_words)
     joined = sums.join(total, "lang").join(top, "lang")
     return joined.select(
@@ -177,9 +180,9 @@ def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     df = base_counts(docs, rules)
     df = df.join(refs, df["row.lang"] == refs["ref_lang"], "left")
     # One letter for each word: its place among the common words, or "." for none.
-    letter = lambda w: F.substr(F.lit("." + _LETTERS), F.array_position("common", w) + 1, F.lit(1))
-    letters = F.array_join(F.transform("words", letter), "").alias("letters")
-    df = df.select(*(c for c in df.columns if c != "words"), letters)
+    letter = lambda h: F.substr(F.lit("." + _LETTERS), F.array_position("common", h) + 1, F.lit(1))
+    letters = F.array_join(F.transform("hashes", letter), "").alias("letters")
+    df = df.select(*(c for c in df.columns if c != "hashes"), letters)
     at = lambda c, n: [F.coalesce(F.get(c, F.lit(k)), F.lit(0)).cast("double") for k in range(n)]
     total = lambda columns: sum(columns, F.lit(0.0))
     bins, common = len(CLASSES) + 2, rules.common_words

@@ -153,7 +153,8 @@ totals AS (
 common AS (
   SELECT lang, w, count(*) AS n FROM word_rows WHERE lang IS NOT NULL
   GROUP BY lang, w
-  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, encode(w)) <= {_RULES.common_words}),
+  QUALIFY n > coalesce(nth_value(n, {_RULES.common_words + 1}) OVER (
+    PARTITION BY lang ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0)),
 word_refs AS (
   SELECT lang, w, n / total AS q FROM common JOIN totals USING (lang)
   UNION ALL
