@@ -9,7 +9,8 @@ A block is a paragraph: lines up to an empty one. A paragraph of several lines i
 looked at line by line as well, as notices often stand in other text.
 
 Defined results: a null or empty text has no blocks. Repeated rows are scanned one by
-one. Equal reductions go to the template with fewer differences, then by name.
+one. Equal reductions go to the template with fewer differences, then by name. An empty
+table gives none; further columns of whatever name are not read.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ instead of packs. Pieces of one length are numbered by their rank, counted in bu
 of bounded size, and each rank range of a length belongs to one place of one pattern.
 
 Defined results: a null text is empty, so its document is the end mark alone.
-Repeated rows are packed one by one. Equal pieces of equal rows are interchangeable.
+Repeated rows are packed one by one. Equal pieces of equal rows are interchangeable. A
+text of any length is cut into as many pieces as it needs. An empty table gives none;
+further columns of whatever name are not read.
 """
 
 from __future__ import annotations

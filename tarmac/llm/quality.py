@@ -145,9 +145,8 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     sums = _classes(labelled, "t").select("lang", *(F.get("classes", F.lit(k)).alias(f"c{k}") for k in bins))
     sums = sums.groupBy("lang").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in bins))
     sums = sums.select("lang", F.array(*(f"c{k}" for k in bins)).alias("class_sums"))
-    hashes = F.transform(words_of(F.col("t")), lambda w: F.xxhash64(w))
-    words = labelled.select("lang", F.explode(hashes).alias("word"))
-    counted = keep(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
+    words = labelled.select("lang", F.explode(words_of(F.col("t"))).alias("word"))
+    counted = keep(words.groupBy("lang", F.xxhash64("word").alias("word")).agg(F.count("*").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     first = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rules.common_words + 1)
     first = first.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.llm import common
 from tarmac.llm.common import keep
 
 STRETCH = 1000
@@ -40,7 +41,7 @@ def normalised(line: Column) -> Column:
 def parsed(messages: DataFrame) -> DataFrame:
     """``row``, ``conv_id``, ``turn`` and ``lines``: level, text and normalised text of each line."""
     df = messages.select(
-        F.struct(*(messages[c] for c in messages.columns)).alias("row"),
+        F.struct(*(messages[common.quoted(c)] for c in messages.columns)).alias("row"),
         F.col("conv_id").cast("bigint"),
         F.col("turn").cast("bigint"),
     )

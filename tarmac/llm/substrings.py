@@ -14,7 +14,8 @@ third of all documents, is not given to one task: its windows are counted by the
 hashes, combined before the shuffle.
 
 Defined results: a null, empty or short text has no windows and keeps its words.
-Repeated rows are copies of each other, so all their windows are removed.
+Repeated rows are copies of each other, so all their windows are removed. An empty table
+gives none; further columns of whatever name are not read.
 """
 
 from __future__ import annotations

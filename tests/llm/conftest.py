@@ -6,7 +6,7 @@ import pytest
 
 DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 #: Names that the operators use within.
-EXTRA = "words STRING, row STRING, kept BOOLEAN, text_id BIGINT, key STRING, verdict STRING, hash INT, key_id STRING, n_words STRING"
+EXTRA = "words STRING, row STRING, kept BOOLEAN, text_id BIGINT, key STRING, verdict STRING, hash INT, key_id STRING, n_words STRING, `a.b` INT"
 
 
 def sentence(rng: random.Random, n: int, vocabulary: int = 300) -> str:
