@@ -3,6 +3,12 @@
 Each stage takes the documents its predecessor kept and returns them with the columns
 of ``documents``; the last returns the pieces of the packed sequences. Between stages
 the rows are written as Parquet to the shared folder and read back.
+
+Defined results: a null, empty or short text goes at the first stage. Rows without an id
+are judged like others and are no copies of anything; of rows of one id that are no
+copies the near-duplicate stage keeps one. Of copies the one of smallest id stays. Long
+texts are judged whole and packed in as many pieces as they need. Further columns, of
+whatever name, are carried up to the last stage. An empty table gives no pieces.
 """
 
 from __future__ import annotations
