@@ -190,17 +190,20 @@ def redact(docs: DataFrame) -> DataFrame:
                 at = b
         return "".join([*out, text[at:]]) if out else text
 
+    names = docs.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
             at = names.index("text")
             texts = [clean(t.as_py()) for t in batch.column(at)]
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.schema.field(at).type)
-            if "n_chars" in names and pa.types.is_integer(batch.schema.field("n_chars").type):
-                k = names.index("n_chars")
+            k = names.index("n_chars") if "n_chars" in names else -1
+            if k >= 0 and pa.types.is_integer(batch.schema.field(k).type):
                 sizes = [n.as_py() if t == old.as_py() else len(t) for n, t, old in zip(batch.column(k), texts, batch.column(at))]
                 columns[k] = pa.array(sizes, batch.schema.field(k).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    # By place, as mapInArrow takes a dot in a name for a field.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
