@@ -55,7 +55,7 @@ from tarmac.streaming import (
 from tarmac.streaming.idle import read_top_airports
 from tarmac.streaming.tallies import GROUPS
 
-if find_spec("tarmac.llm") and find_spec("corpus_pipeline"):
+if (found := find_spec("tarmac.llm")) and found.origin and find_spec("corpus_pipeline"):
     from tarmac.llm.queries import ORACLE_SQL as LLM_SQL
     from tarmac.llm.queries import QUERIES as LLM_QUERIES
 else:  # the library works without its training-data operators
