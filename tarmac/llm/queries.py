@@ -185,23 +185,44 @@ _BODY = f"regexp_replace(x, '{_MARKS}', '')"
 
 OP1_SQL = rf"""
 WITH messages AS (
-  SELECT conv_id, turn, role, text, string_split_regex(coalesce(text, ''), '\r?\n') AS xs FROM conversations),
+  SELECT row_number() OVER () AS r, conv_id, turn, role, text,
+    string_split_regex(coalesce(text, ''), '\r?\n') AS xs FROM conversations),
 lines AS (
-  SELECT conv_id, turn, {_LEVEL} AS level,
+  SELECT r, conv_id, turn, i, {_LEVEL} AS level,
     trim(regexp_replace(lower({_BODY}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS words
-  FROM (SELECT conv_id, turn, unnest(xs) AS x FROM messages WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
-long AS (SELECT * FROM lines WHERE len(string_split(words, ' ')) >= {quotes.LEAST_WORDS}),
+  FROM (SELECT r, conv_id, turn, unnest(xs) AS x, generate_subscripts(xs, 1) AS i
+    FROM messages WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
+numbered AS (SELECT *, i - row_number() OVER (PARTITION BY r, level ORDER BY i) AS run FROM lines),
+runs AS (
+  SELECT conv_id, turn, level, string_split(string_agg(words, ' ' ORDER BY i), ' ') AS ws
+  FROM numbered WHERE words <> '' GROUP BY r, conv_id, turn, level, run),
+passages AS (
+  SELECT conv_id, turn, level, ws, least(len(ws), {quotes.WINDOW}) AS size, count(*) AS n
+  FROM runs WHERE level > 0 GROUP BY ALL),
 quoted AS (
-  SELECT conv_id, turn, words, min(level) AS level, count(*) AS n FROM long WHERE level > 0 GROUP BY ALL),
-said AS (SELECT DISTINCT conv_id, turn, words FROM long WHERE level = 0),
+  SELECT DISTINCT conv_id, turn, level, ws, n, array_to_string(ws[j:j + size - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS j FROM passages)),
+own AS (
+  SELECT * FROM runs JOIN (SELECT DISTINCT conv_id, size FROM passages) USING (conv_id)
+  WHERE level = 0 AND len(ws) >= size),
+said AS (
+  SELECT DISTINCT conv_id, turn, array_to_string(ws[j:j + size - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS j FROM own)),
 found AS (
-  SELECT q.conv_id, q.turn, q.words, any_value(q.level) AS level, any_value(q.n) AS n, max(s.turn) AS before
-  FROM quoted q LEFT JOIN said s ON s.conv_id = q.conv_id AND s.words = q.words AND s.turn < q.turn
-  GROUP BY q.conv_id, q.turn, q.words),
+  SELECT q.conv_id, q.turn, q.level, q.ws, q.w, any_value(q.n) AS n, max(s.turn) AS before
+  FROM quoted q LEFT JOIN said s ON s.conv_id = q.conv_id AND s.w = q.w AND s.turn < q.turn
+  GROUP BY q.conv_id, q.turn, q.level, q.ws, q.w),
+origins AS (
+  SELECT conv_id, turn, level, ws, any_value(n) AS n,
+    max(struct_pack(windows := windows, before := before)) FILTER (before IS NOT NULL) AS most
+  FROM (SELECT conv_id, turn, level, ws, before, any_value(n) AS n, count(*) AS windows FROM found GROUP BY conv_id, turn, level, ws, before)
+  GROUP BY conv_id, turn, level, ws),
 votes AS (
-  SELECT conv_id, turn, before, sum(n) AS n, max(level) AS level FROM found GROUP BY conv_id, turn, before),
+  SELECT conv_id, turn, level, most.before AS before, sum(most.windows * n) AS windows, sum(n) AS n
+  FROM origins GROUP BY conv_id, turn, level, most.before),
 links AS (
-  SELECT conv_id, turn, max(struct_pack(n := n, before := before)) FILTER (before IS NOT NULL) AS most,
+  SELECT conv_id, turn,
+    max(struct_pack(near := -level, windows := windows, before := before)) FILTER (before IS NOT NULL) AS most,
     sum(n) AS n_quoted, coalesce(sum(n) FILTER (before IS NOT NULL), 0) AS n_linked, max(level) AS quote_depth
   FROM votes GROUP BY conv_id, turn),
 turns AS (
